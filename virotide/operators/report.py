@@ -101,7 +101,7 @@ def clean_trim_samples(leaves: DataFrame, valid: DataFrame) -> DataFrame:
     short = F.expr("substring(sample, 1, greatest(length(sample) - 2, 0))")
     known = names.select(F.col("sample").alias("_short"), F.lit(True).alias("_known"))
     renamed = trim.withColumn("_short", short).join(known, "_short", "left")
-    renamed = renamed.withColumn("sample", F.when("_known", F.col("_short")).otherwise(F.col("sample")))
+    renamed = renamed.withColumn("sample", F.when(F.col("_known"), F.col("_short")).otherwise(F.col("sample")))
     rest = leaves.filter(~F.col("document").startswith("multiqc_cutadapt"))
     return mix(rest, renamed.drop("_short", "_known"))
 
