@@ -363,7 +363,7 @@ def base_by_cycle(reads: DataFrame, strand_aware: bool = True) -> DataFrame:
     quality = F.ascii(F.substr(F.col("qual"), F.col("_i"), F.lit(1))) - 33
     counts = [F.count(F.when(base == b, 1)).alias(b.lower()) for b in "ACGTN"]
     return cycles.filter(length > 0).groupBy("sample", cycle.alias("cycle")).agg(
-        *counts, F.sum(quality).cast("bigint").alias("quality_sum"), F.count(F.lit(1)).alias("n")
+        *counts, F.sum(quality).cast("bigint").alias("quality_sum"), F.count(F.lit(1)).alias("total")
     )
 
 

@@ -15,18 +15,24 @@ def qualities(qual: Column) -> Column:
     return F.transform(F.filter(F.split(qual, ""), lambda c: c != ""), lambda c: F.ascii(c) - 33)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once (a lambda variable, so it is never inlined)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _window_mean_cut(values: Column, window: int, mean: int) -> Column:
     """Number of leading values to drop: start of the first window whose sum reaches the mean."""
     size = F.size(values)
-    starts = F.when(size >= window, F.sequence(F.lit(1), F.greatest(size - window + 1, F.lit(1)))).otherwise(
-        F.array().cast("array<int>")
-    )
+    starts = F.sequence(F.lit(0), F.greatest(size - window, F.lit(0)))
 
     def good(i):
-        return F.aggregate(F.slice(values, i, window), F.lit(0), lambda a, q: a + q) >= mean * window
+        total = F.get(values, i)
+        for step in range(1, window):
+            total = total + F.get(values, i + step)
+        return F.coalesce(total >= mean * window, F.lit(False))
 
-    first = F.get(F.filter(starts, good), F.lit(0))
-    return F.when(first.isNull(), size).otherwise(first - 1)
+    place = F.array_position(F.transform(starts, good), True)
+    return F.when(place > 0, place - 1).otherwise(size).cast("int")
 
 
 def trim_reads(
@@ -42,27 +48,42 @@ def trim_reads(
     """Quality trimming by sliding windows from both ends, poly-X tail trim, then the read filters.
 
     Kept are reads with at most ``low_percent`` of bases below ``base_quality`` and at least
-    ``min_length`` bases. All of it is array work inside the row: no shuffle, no Python.
+    ``min_length`` bases. All of it is one generator over the row: no shuffle, no Python.
     """
-    scored = reads.withColumn("_q", qualities(F.col("qual")))
-    head = _window_mean_cut(F.col("_q"), window, mean_quality)
-    scored = scored.withColumn("_head", head)
-    tail = _window_mean_cut(F.reverse("_q"), window, mean_quality)
-    scored = scored.withColumn("_keep", F.greatest(F.size("_q") - F.col("_head") - tail, F.lit(0)))
-    cut = scored.withColumns(
-        {
-            "seq": F.substr("seq", F.col("_head") + 1, F.col("_keep")),
-            "qual": F.substr("qual", F.col("_head") + 1, F.col("_keep")),
-        }
-    )
-    if poly:
-        pattern = "|".join(f"{b}{{{poly_length},}}" for b in poly)
-        cut = cut.withColumn("seq", F.regexp_replace("seq", f"(?:{pattern})$", ""))
-        cut = cut.withColumn("qual", F.substr("qual", F.lit(1), F.length("seq")))
-    kept = cut.withColumn("_q", qualities(F.col("qual")))
-    low = ratio(F.size(F.filter("_q", lambda q: q < base_quality)) * 100, F.size("_q"))
-    passed = (F.length("seq") >= min_length) & (F.coalesce(low, F.lit(100.0)) <= low_percent)
-    return kept.filter(passed).drop("_q", "_head", "_keep")
+    pattern = "|".join(f"{b}{{{poly_length},}}" for b in poly or "")
+
+    def cut(q):
+        return let(
+            F.struct(_window_mean_cut(q, window, mean_quality).alias("head"), F.reverse(q).alias("back")),
+            lambda h: F.struct(
+                h["head"].alias("head"),
+                F.greatest(
+                    F.size(q) - h["head"] - let(h["back"], lambda r: _window_mean_cut(r, window, mean_quality)), F.lit(0)
+                ).alias("keep"),
+            ),
+        )
+
+    def trimmed(c):
+        seq = F.substr(F.col("seq"), c["head"] + 1, c["keep"])
+        seq = F.regexp_replace(seq, f"(?:{pattern})$", "") if poly else seq
+        return let(
+            seq,
+            lambda s: let(
+                F.substr(F.col("qual"), c["head"] + 1, F.length(s)),
+                lambda q: F.struct(
+                    s.alias("seq"),
+                    q.alias("qual"),
+                    ratio(F.size(F.filter(qualities(q), lambda v: v < base_quality)) * 100, F.length(q)).alias("_low"),
+                ),
+            ),
+        )
+
+    def passes(r):
+        return (F.length(r["seq"]) >= min_length) & (F.coalesce(r["_low"], F.lit(100.0)) <= low_percent)
+
+    rest = [c for c in reads.columns if c not in ("seq", "qual")]
+    result = let(let(qualities(F.col("qual")), cut), trimmed)
+    return reads.select(*rest, F.inline(F.filter(F.array(result), passes))).drop("_low")
 
 
 def trim_summary(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -97,11 +97,11 @@ def mask_merged(spark, sf_dir):
 
 @query(
     "contigs_missing",
-    "SELECT DISTINCT contig FROM intervals WHERE contig NOT IN (SELECT event_type FROM events WHERE value > 99.5 AND user_id < 3)",
+    "SELECT DISTINCT contig FROM intervals WHERE contig NOT IN (SELECT event_type FROM events WHERE value > 30 AND event_type < 'f')",
     inputs=("intervals",),
 )
 def contigs_missing(spark, sf_dir):
-    known = table(spark, sf_dir, "events").filter("value > 99.5 AND user_id < 3").select(F.col("event_type").alias("contig"))
+    known = table(spark, sf_dir, "events").filter("value > 30 AND event_type < 'f'").select(F.col("event_type").alias("contig"))
     return intervals.contigs_missing(frame(spark, sf_dir, "intervals"), known)
 
 
@@ -344,7 +344,7 @@ def insert_size_histogram(spark, sf_dir):
          d AS (SELECT sample, CAST(CASE WHEN flag & 16 = 16 THEN length(seq) - i + 1 ELSE i END AS INT) AS cycle, substr(seq, CAST(i AS INT), 1) AS b,
            ascii(substr(qual, CAST(i AS INT), 1)) - 33 AS q FROM e)
        SELECT sample, cycle, count(*) FILTER (b = 'A') AS a, count(*) FILTER (b = 'C') AS c, count(*) FILTER (b = 'G') AS g, count(*) FILTER (b = 'T') AS t,
-         count(*) FILTER (b = 'N') AS n_base, CAST(sum(q) AS BIGINT) AS quality_sum, count(*) AS total FROM d GROUP BY ALL""",
+         count(*) FILTER (b = 'N') AS n, CAST(sum(q) AS BIGINT) AS quality_sum, count(*) AS total FROM d GROUP BY ALL""",
     inputs=("reads_aligned",),
 )
 def base_by_cycle(spark, sf_dir):
@@ -366,8 +366,6 @@ def base_by_cycle(spark, sf_dir):
     inputs=("reads_aligned",),
 )
 def trim_primers(spark, sf_dir):
-    strand = F.when(F.substring_index("region", "#", -1) == "1", "-").otherwise("+")
-    del strand
     start = F.floor(F.col("p_partkey") / 8).cast("bigint")
     bed = table(spark, sf_dir, "part").select(
         F.concat(F.lit("ctg"), F.substr(F.lit("ANR"), (F.col("p_partkey") % 3 + 1).cast("int"), F.lit(1))).alias("contig"),
@@ -534,7 +532,7 @@ def reads_length_filter(spark, sf_dir):
 TRIM = """
 t AS (SELECT sample, read_id, seq, qual, length(qual) AS n,
   coalesce(list_min(list_filter(range(0, length(qual) - 3), lambda i: {sum_at_i} >= 80)), length(qual)) AS head,
-  coalesce(list_min(list_filter(range(0, length(qual) - 3), lambda i: {rsum_at_i} >= 80)), length(qual)) AS tail FROM reads),
+  coalesce(list_min(list_filter(range(0, length(qual) - 3), lambda i: {rsum_at_i} >= 80)), length(qual)) AS tail FROM (SELECT *, reverse(qual) AS rq FROM reads)),
 k AS (SELECT sample, read_id, substr(seq, head + 1, greatest(n - head - tail, 0)) AS seq, substr(qual, head + 1, greatest(n - head - tail, 0)) AS qual FROM t),
 p AS (SELECT sample, read_id, regexp_replace(seq, '(?:A{10,}|C{10,}|G{10,}|T{10,})$', '') AS seq, qual FROM k),
 q AS (SELECT sample, read_id, seq, substr(qual, 1, length(seq)) AS qual FROM p),
@@ -542,7 +540,7 @@ kept AS (SELECT *, 100 * (length(qual) - length(replace(qual, '!', ''))) / lengt
 """
 _Q = "CASE substr({s}, CAST(i + {k} AS INT), 1) WHEN '!' THEN 0 WHEN '?' THEN 30 ELSE 40 END"
 TRIM = TRIM.replace("{sum_at_i}", " + ".join(_Q.format(s="qual", k=k) for k in (1, 2, 3, 4))).replace(
-    "{rsum_at_i}", " + ".join(_Q.format(s="reverse(qual)", k=k) for k in (1, 2, 3, 4))
+    "{rsum_at_i}", " + ".join(_Q.format(s="rq", k=k) for k in (1, 2, 3, 4))
 )
 
 
