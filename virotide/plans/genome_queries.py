@@ -411,13 +411,23 @@ def letter_runs(spark, sf_dir):
            sum(CASE WHEN b = 'A' THEN 1 ELSE 0 END) OVER w AS a, sum(CASE WHEN b = 'C' THEN 1 ELSE 0 END) OVER w AS cc,
            sum(CASE WHEN b = 'T' THEN 1 ELSE 0 END) OVER w AS t, sum(CASE WHEN b = 'G' THEN 1 ELSE 0 END) OVER w AS g
            FROM l WINDOW w AS (PARTITION BY contig ORDER BY i ROWS BETWEEN 500 PRECEDING AND 500 FOLLOWING))
-       SELECT p.contig, CAST(p.i AS BIGINT) AS position, CASE WHEN p.len >= 1001 THEN q.a / 1001 END AS a_mean, CASE WHEN p.len >= 1001 THEN q.cc / 1001 END AS c_mean,
-         CASE WHEN p.len >= 1001 THEN q.t / 1001 END AS t_mean, CASE WHEN p.len >= 1001 THEN q.g / 1001 END AS g_mean
-       FROM p LEFT JOIN p q ON q.contig = p.contig AND q.i = p.c""",
+       SELECT p.contig, count(*) AS positions, count(*) FILTER (p.len >= 1001) AS with_mean, max(CASE WHEN p.len >= 1001 THEN q.a / 1001 END) AS a_max,
+         min(CASE WHEN p.len >= 1001 THEN q.cc / 1001 END) AS c_min, CAST(sum(CASE WHEN p.len >= 1001 THEN q.t * p.i END) AS BIGINT) AS t_moment,
+         CAST(sum(CASE WHEN p.len >= 1001 THEN q.g * p.i END) AS BIGINT) AS g_moment
+       FROM p LEFT JOIN p q ON q.contig = p.contig AND q.i = p.c GROUP BY p.contig""",
     inputs=("sequences",),
 )
 def base_density(spark, sf_dir):
-    return composition.base_density(frame(spark, sf_dir, "sequences"), ("contig",), width=4096)
+    """Running means of every position, summed up per sequence (extremes and moments)."""
+    means = composition.base_density(frame(spark, sf_dir, "sequences"), ("contig",), width=4096)
+
+    def moment(base):
+        return F.sum(F.rint(F.col(f"{base}_mean") * 1001).cast("bigint") * F.col("position")).alias(f"{base}_moment")
+
+    return means.groupBy("contig").agg(
+        F.count(F.lit(1)).alias("positions"), F.count("a_mean").alias("with_mean"), F.max("a_mean").alias("a_max"),
+        F.min("c_mean").alias("c_min"), moment("t"), moment("g"),
+    )
 
 
 @query("contig_sizes", "SELECT contig, length(seq) AS length FROM sequences", inputs=("sequences",))
