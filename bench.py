@@ -42,7 +42,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or list(HEADLINE)
     run(spark, "gate_barcode_reads", sf_dir)  # JVM warm-up, not counted
-    times = {name: round(run(spark, name, sf_dir), 3) for name in names}
+    times = {}
+    for name in names:
+        times[name] = round(run(spark, name, sf_dir), 3)
+        print(f"{name} {times[name]}", file=sys.stderr, flush=True)
     line = {
         "metric": "total wall time of the headline queries",
         "value": round(sum(times.values()), 3),

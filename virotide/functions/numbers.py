@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def round_half_even(value: Column, digits: int) -> Column:
@@ -40,79 +43,59 @@ def float_text(value: Column) -> Column:
     )
 
 
-# ln(n!) for n = 0..9, used where the asymptotic series below is not yet exact.
-LOG_FACTORIAL_SMALL = (
-    0.0,
-    0.0,
-    0.6931471805599453,
-    1.791759469228055,
-    3.1780538303479458,
-    4.787491742782046,
-    6.579251212010101,
-    8.525161361065415,
-    10.60460290274525,
-    12.801827480081469,
-)
-
-
-def log_factorial(n: Column) -> Column:
-    """``ln(n!)`` as a JVM expression: a small table, then Stirling's series (error < 1e-12)."""
-    x = n.cast("double")
-    big = F.greatest(x, F.lit(10.0))
-    series = (
-        (big + 0.5) * F.ln(big)
-        - big
-        + 0.9189385332046727
-        + 1 / (12 * big)
-        - 1 / (360 * big * big * big)
-        + 1 / (1260 * big * big * big * big * big)
-    )
-    table = F.array(*[F.lit(v) for v in LOG_FACTORIAL_SMALL])
-    return F.when(x < 10, F.get(table, n.cast("int"))).otherwise(series)
-
+def _log_factorial(n: np.ndarray) -> np.ndarray:
+    """``ln(n!)``: exact products below 10, Stirling's series above (error < 1e-12)."""
+    x = np.maximum(n, 10.0)
+    series = (x + 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi)
+    series += 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    small = np.log(np.cumprod(np.array([1.0, *range(1, 10)])))
+    return np.where(n < 10, small[np.minimum(n, 9).astype(int)], series)
 
-def fisher_greater(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """One-sided Fisher exact p-value, P(X >= a) for the 2x2 table [[a, b], [c, d]].
 
-    The tail is summed away from the mode (terms fall), so nothing underflows before it is
-    negligible: upward from ``a`` above the mean, else one minus the sum downward from ``a - 1``.
-    """
-    a, b, c, d = (v.cast("double") for v in (a, b, c, d))
-    row1, row2, col1, col2 = a + b, c + d, a + c, b + d
-    total = row1 + row2
+def _tail(first: np.ndarray, steps: np.ndarray, ratio_at) -> np.ndarray:
+    """Sum of a falling series whose next term is the last one times ``ratio_at(k)``."""
+    total, term = first.copy(), first.copy()
+    for k in range(int(steps.max(initial=0))):
+        term = np.where(k < steps, term * ratio_at(k), 0.0)
+        total += term
+        if not (term > total * 1e-17).any():
+            break
+    return total
 
-    def log_term(w, x, y, z):
-        numerator = log_factorial(row1) + log_factorial(row2) + log_factorial(col1) + log_factorial(col2)
-        denominator = log_factorial(total) + log_factorial(w) + log_factorial(x)
-        return numerator - denominator - log_factorial(y) - log_factorial(z)
 
-    def tail(first, steps, ratio_at):
-        zero = F.struct(first.alias("term"), first.alias("sum"))
+def _fisher_greater(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """P(X >= a) with fixed margins, for whole batches.
 
-        def advance(acc, k):
-            term = acc["term"] * ratio_at(k.cast("double"))
-            return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+    The sum runs away from the mode, where terms fall: upward from ``a`` above the mean, else one
+    minus the sum downward from ``a - 1``. Nothing can underflow before it is negligible.
+    """
+    row1, row2, col1, col2 = a + b, c + d, a + c, b + d
+    margins = sum(_log_factorial(m) for m in (row1, row2, col1, col2)) - _log_factorial(row1 + row2)
+    above = a * (row1 + row2) > row1 * col1
 
-        walk = F.when(steps >= 1, F.sequence(F.lit(0), (steps - 1).cast("int"))).otherwise(
-            F.array().cast("array<int>")
-        )
-        return F.aggregate(walk, zero, advance, lambda acc: acc["sum"])
+    def first(w, x, y, z):
+        possible = (w >= 0) & (z >= 0)
+        cells = sum(_log_factorial(np.maximum(m, 0)) for m in (w, x, y, z))
+        return np.where(possible, np.exp(np.where(possible, margins - cells, 0.0)), 0.0)
 
-    upper = tail(
-        F.exp(log_term(a, b, c, d)),
-        F.least(b, c),
+    upper = _tail(
+        np.where(above, first(a, b, c, d), 0.0),
+        np.where(above, np.minimum(b, c), 0),
         lambda k: (b - k) * (c - k) / ((a + k + 1) * (d + k + 1)),
     )
-    # Start of the lower tail: the table with a - 1 in its corner (impossible if a = 0 or d = 0).
-    lower_first = F.when(
-        (a >= 1) & (d >= 1),
-        F.exp(log_term(F.greatest(a - 1, F.lit(0.0)), b + 1, c + 1, F.greatest(d - 1, F.lit(0.0)))),
-    ).otherwise(F.lit(0.0))
-    lower = tail(
-        lower_first,
-        F.least(a, d) - 1,
+    lower = _tail(
+        np.where(above, 0.0, first(a - 1, b + 1, c + 1, d - 1)),
+        np.where(above, 0, np.maximum(np.minimum(a, d) - 1, 0)),
         lambda k: (a - 1 - k) * (d - 1 - k) / ((b + 2 + k) * (c + 2 + k)),
     )
-    above_mean = a * total > row1 * col1
-    p = F.when(above_mean, upper).otherwise(F.lit(1.0) - lower)
-    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
+    return np.clip(np.where(above, upper, 1.0 - lower), 0.0, 1.0)
+
+
+@F.pandas_udf(DoubleType())
+def fisher_greater(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+    """One-sided Fisher exact p-value of [[a, b], [c, d]]; NULL if a count is missing."""
+    cells = [v.to_numpy(dtype="float64", na_value=np.nan) for v in (a, b, c, d)]
+    known = ~np.isnan(np.sum(cells, axis=0))
+    out = np.full(len(a), np.nan)
+    out[known] = _fisher_greater(*[v[known] for v in cells])
+    return pd.Series(out).where(known, None)

@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from virotide.functions.numbers import ratio
 from virotide.functions.sequence import cigar_ops, cigar_span
-from virotide.operators.intervals import point_in_interval, split_at
-from virotide.operators.tiles import DEFAULT_WIDTH, next_value, running_sum
+from virotide.operators.intervals import overlapping, point_in_interval, split_at
+from virotide.operators.tiles import DEFAULT_WIDTH, attach, next_value, running_sum
 
 # Flag bits.
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE, MATE_REVERSE = 1, 2, 4, 8, 16, 32
@@ -185,8 +185,6 @@ def region_depth(
     Segments meet regions by an overlap join on bins; the median is weighted by overlap length over
     a (region, depth) histogram, so the single bases are never built.
     """
-    from virotide.operators.intervals import overlapping
-
     pairs = overlapping(segments, regions, ["contig"])
     shared = F.least("end", "r_end") - F.greatest("start", "r_start")
     histogram = pairs.groupBy("sample", "contig", "r_start", "r_end", "r_region", "depth").agg(
@@ -273,24 +271,24 @@ def call_variants(
     """Caller rows from base counts: every base that differs from the reference and is frequent enough.
 
     ``reference`` is (contig, pos, ref). Depth counts bases, not insertions; a variant needs mean
-    quality, frequency and depth. The total is an aggregate joined back, so no position is a window.
+    quality, frequency and depth. The window group is one site's alleles: reads were counted before.
     """
-    depth = counts.filter(~F.col("base").startswith("+")).groupBy("sample", "contig", "pos").agg(
-        F.sum("n").alias("total_dp")
-    )
-    named = counts.join(reference, ["contig", "pos"])
-    refs = named.filter(F.col("base") == F.col("ref")).select(
-        "sample", "contig", "pos", F.col("n").alias("ref_dp"), F.col("n_reverse").alias("ref_rv"),
-        F.floor(F.col("quality_sum") / F.col("n")).cast("int").alias("ref_qual"),
-    )
-    alts = named.filter((F.col("base") != F.col("ref")) & (F.col("base") != "*")).select(
+    site = Window.partitionBy("sample", "contig", "pos")
+    is_ref = F.col("base") == F.col("ref")
+
+    def reference_value(value):
+        return F.coalesce(F.max(F.when(is_ref, value)).over(site), F.lit(0))
+
+    mean_quality = F.floor(F.col("quality_sum") / F.col("n")).cast("int")
+    rows = counts.join(reference, ["contig", "pos"]).select(
         "sample", "contig", "pos", "ref", F.col("base").alias("alt"),
-        F.col("n").alias("alt_dp"), F.col("n_reverse").alias("alt_rv"),
-        F.floor(F.col("quality_sum") / F.col("n")).cast("int").alias("alt_qual"),
+        F.col("n").alias("alt_dp"), F.col("n_reverse").alias("alt_rv"), mean_quality.alias("alt_qual"),
+        F.sum(F.when(~F.col("base").startswith("+"), F.col("n"))).over(site).alias("total_dp"),
+        reference_value(F.col("n")).alias("ref_dp"), reference_value(F.col("n_reverse")).alias("ref_rv"),
+        reference_value(mean_quality).alias("ref_qual"),
     )
-    site = ["sample", "contig", "pos"]
-    rows = alts.join(depth, site).join(refs, site, "left").fillna(0, ["ref_dp", "ref_rv", "ref_qual"])
-    called = rows.withColumn("alt_freq", ratio(F.col("alt_dp"), F.col("total_dp")))
+    alts = rows.filter((F.col("alt") != F.col("ref")) & (F.col("alt") != "*"))
+    called = alts.withColumn("alt_freq", ratio(F.col("alt_dp"), F.col("total_dp")))
     return called.filter(
         (F.col("alt_freq") >= min_freq) & (F.col("alt_qual") >= min_quality) & (F.col("total_dp") >= min_depth)
     )
@@ -333,8 +331,6 @@ def mark_duplicates(
         F.min(F.struct(score, *order)).alias("_best")
     )
     best = best.select(*group, *[F.col(f"_best.{c}").alias(n) for c, n in zip(order, names)])
-    from virotide.operators.tiles import attach
-
     joined = attach(keyed, best, group)
     is_best = F.lit(True)
     for column, name in zip(order, names):

@@ -102,17 +102,22 @@ def base_density(
         ends[f"_tail_{base}"] = count_in(F.substring("seq", -k, k), base)
     rows = positions(records.withColumns(ends), keys, bases, extra=list(ends))
     spread = halo(rows, "position", half, width)
-    window = Window.partitionBy(*keys, TILE).orderBy("position").rowsBetween(-half, half)
+    order = Window.partitionBy(*keys, TILE).orderBy("position")
+    # Window sums as differences of one running count: a sliding frame would add k rows per row.
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = spread.withColumns({f"_run_{b}": F.sum(b.lower()).over(running) for b in bases})
     means = []
     for base in bases:
+        run = f"_run_{base}"
+        inside = F.lead(run, half).over(order) - F.coalesce(F.lag(run, half + 1).over(order), F.lit(0))
         total = (
             F.when(F.col("position") <= half, F.col(f"_head_{base}"))
             .when(F.col("position") > F.col("length") - half, F.col(f"_tail_{base}"))
-            .otherwise(F.sum(base.lower()).over(window))
+            .otherwise(inside)
         )
         mean = F.when(F.col("length") >= k, ratio(total, F.lit(k)))
         means.append(mean.alias(f"{base.lower()}_mean"))
-    return spread.select(*keys, "position", "_own", *means).filter("_own").drop("_own")
+    return counted.select(*keys, "position", "_own", *means).filter("_own").drop("_own")
 
 
 # --- contigs ---------------------------------------------------------------------------------------

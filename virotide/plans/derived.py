@@ -192,10 +192,21 @@ def _render(expr: str, spark: bool) -> str:
     return out.replace("{end}", "end" if spark else '"end"')
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has cores (one small file, here).
+
+    Large inputs have more splits than cores and are left as they are: no shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, df.columns[0])
+
+
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived input as a DataFrame; only the columns it uses are read from the table."""
     source, stages = DERIVED[name]
-    df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    df = widen(spark.read.parquet(f"{sf_dir}/{source}.parquet"))
     for stage in stages:
         df = df.selectExpr(*[_render(e, True) for e in stage])
     # A generator keeps these made-up expressions out of later filters: the optimizer would otherwise

@@ -106,17 +106,21 @@ def contigs_missing(spark, sf_dir):
 
 
 REGIONS = """
-regions AS (SELECT 'ctg' || substr('ANR', CAST(1 + p_partkey % 3 AS INT), 1) AS contig, CAST(floor(p_partkey / 8) AS BIGINT) AS "start",
-  CAST(floor(p_partkey / 8) AS BIGINT) + 1 + CAST(floor(p_size / 5) AS BIGINT) AS "end", 'reg' || p_partkey AS region FROM part)
+amp AS (SELECT CAST(floor(p_partkey / 40) AS BIGINT) AS a, max(p_size) AS size FROM part GROUP BY 1),
+regions AS (SELECT 'ctg' || substr('ANR', CAST(1 + a % 3 AS INT), 1) AS contig, a * 5 AS "start",
+  a * 5 + 1 + CAST(floor(size / 3) AS BIGINT) AS "end", 'reg' || a AS region FROM amp)
 """
 
 
 def regions(spark, sf_dir):
-    start = F.floor(F.col("p_partkey") / 8).cast("bigint")
-    return table(spark, sf_dir, "part").select(
-        F.concat(F.lit("ctg"), F.substr(F.lit("ANR"), (F.col("p_partkey") % 3 + 1).cast("int"), F.lit(1))).alias("contig"),
-        start.alias("start"), (start + 1 + F.floor(F.col("p_size") / 5)).alias("end"),
-        F.concat(F.lit("reg"), F.col("p_partkey").cast("string")).alias("region"),
+    """Overlapping amplicons: forty parts each."""
+    amplicon = F.floor(F.col("p_partkey") / 40)
+    sized = table(spark, sf_dir, "part").groupBy(amplicon.alias("a")).agg(F.max("p_size").alias("size"))
+    a = F.col("a")
+    return sized.select(
+        F.concat(F.lit("ctg"), F.substr(F.lit("ANR"), (a % 3 + 1).cast("int"), F.lit(1))).alias("contig"),
+        (a * 5).alias("start"), (a * 5 + 1 + F.floor(F.col("size") / 3)).alias("end"),
+        F.concat(F.lit("reg"), a.cast("string")).alias("region"),
     )
 
 
@@ -274,10 +278,12 @@ def pileup_counts(spark, sf_dir):
 REFERENCE = f"substr('{GENOME}', CAST(1 + pos % {len(GENOME)} AS INT), 1)"
 
 
-def site_reference(counts):
-    """Reference base per site that occurs in the pileup."""
+def site_reference(rows):
+    """The made-up reference over the span the reads cover."""
+    ends = rows.groupBy("contig").agg((F.max("pos") + 30).alias("last"))
+    sites = ends.select("contig", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("last"))).alias("pos"))
     base = F.substr(F.lit(GENOME), (F.col("pos") % len(GENOME) + 1).cast("int"), F.lit(1))
-    return counts.select("contig", "pos").distinct().withColumn("ref", base)
+    return sites.withColumn("ref", base)
 
 
 @query(
@@ -292,8 +298,9 @@ def site_reference(counts):
     inputs=("reads_aligned",),
 )
 def call_variants(spark, sf_dir):
-    counts = alignments.pileup_counts(frame(spark, sf_dir, "reads_aligned"))
-    return alignments.call_variants(counts, site_reference(counts), min_depth=3).drop("ref_qual")
+    rows = frame(spark, sf_dir, "reads_aligned")
+    counts = alignments.pileup_counts(rows)
+    return alignments.call_variants(counts, site_reference(rows), min_depth=3).drop("ref_qual")
 
 
 @query(
