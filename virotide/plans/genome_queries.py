@@ -519,13 +519,17 @@ def interval_sequences(spark, sf_dir):
 )
 def consensus_apply_variants(spark, sf_dir):
     rows = decoded(spark, sf_dir)
+    high = variants.consensus_variants(rows, "ivar").select("sample", "contig", "pos", "ref", "alt")
+    return consensus.apply_variants(high, made_up_reference(rows), width=100)
+
+
+def made_up_reference(rows):
+    """Reference text of each contig, as long as the calls reach."""
     length = rows.groupBy("contig").agg((F.max("pos") + 5).cast("int").alias("n"))
     size = len(GENOME)
     rotated = GENOME[1:] + GENOME[:1]
     repeats = (F.floor(F.col("n") / size) + 1).cast("int")
-    reference = length.select("contig", F.substr(F.repeat(F.lit(rotated), repeats), F.lit(1), F.col("n")).alias("seq"))
-    high = variants.consensus_variants(rows, "ivar").select("sample", "contig", "pos", "ref", "alt")
-    return consensus.apply_variants(high, reference, width=100)
+    return length.select("contig", F.substr(F.repeat(F.lit(rotated), repeats), F.lit(1), F.col("n")).alias("seq"))
 
 
 @query(
@@ -722,3 +726,30 @@ def coding_effects(spark, sf_dir):
 def codon_translation(spark, sf_dir):
     rows = frame(spark, sf_dir, "calls").filter(F.col("ref_codon").isNotNull())
     return rows.select("sample", "contig", "pos", "src", "src2", translate_codon(F.col("ref_codon")).alias("aa"))
+
+
+@query(
+    "consensus_masked",
+    "WITH " + decoded_sql(False) + """, hi AS (SELECT sample, contig, pos, arg_min(ref, alt) AS ref, min(alt) AS alt FROM decoded WHERE alt_freq >= 0.75 GROUP BY ALL),
+        cov AS (SELECT DISTINCT sample, contig, pos + unnest(range(1, length(ref))) AS pos FROM hi WHERE length(ref) > 1),
+        ok AS (SELECT h.* FROM hi h WHERE NOT EXISTS (SELECT 1 FROM cov c WHERE c.sample = h.sample AND c.contig = h.contig AND c.pos = h.pos)),
+        del AS (SELECT sample, contig, pos + unnest(range(1, length(ref))) AS pos FROM ok WHERE length(ref) > 1),
+        mask AS (SELECT DISTINCT sample, contig, pos FROM calls WHERE total_dp < 30),
+        len AS (SELECT contig, max(pos) + 5 AS n FROM decoded GROUP BY contig),
+        f AS (SELECT s.sample, len.contig, unnest(range(1, n + 1)) AS pos FROM (SELECT DISTINCT sample FROM hi UNION SELECT DISTINCT sample FROM mask) s CROSS JOIN len)
+      SELECT f.sample, f.contig, CAST(floor((f.pos - 1) / 100) AS BIGINT) AS chunk,
+        string_agg(CASE WHEN ok.pos IS NOT NULL THEN ok.alt WHEN del.pos IS NOT NULL THEN '' WHEN mask.pos IS NOT NULL THEN 'N' ELSE """
+    + REFERENCE.replace("pos", "f.pos")
+    + """ END, '' ORDER BY f.pos) AS seq
+      FROM f LEFT JOIN ok ON ok.sample = f.sample AND ok.contig = f.contig AND ok.pos = f.pos
+        LEFT JOIN del ON del.sample = f.sample AND del.contig = f.contig AND del.pos = f.pos
+        LEFT JOIN mask ON mask.sample = f.sample AND mask.contig = f.contig AND mask.pos = f.pos GROUP BY ALL""",
+    inputs=("calls",),
+)
+def consensus_masked(spark, sf_dir):
+    """Variants applied to a reference that is masked per sample where the depth is low."""
+    rows = decoded(spark, sf_dir)
+    low = rows.filter(F.col("dp") < 30).select("sample", "contig", (F.col("pos") - 1).alias("start"), F.col("pos").alias("end"))
+    high = variants.consensus_variants(rows, "ivar").select("sample", "contig", "pos", "ref", "alt")
+    mask = intervals.merge_intervals(low, ("sample", "contig"))
+    return consensus.apply_variants(high, made_up_reference(rows), width=100, mask=mask)

@@ -1,0 +1,51 @@
+"""External tools (alignment, assembly, lineage calling, deconvolution): a registry over ``mapInPandas``.
+
+These algorithms are not rebuilt. An adapter feeds rows to a binary as tab-separated text, batch by
+batch in the tasks, and reads its text back under a fixed schema; where the binary is missing it fails
+with its name. Tools that write files are read with `readers` instead.
+"""
+
+from __future__ import annotations
+
+import io
+import shutil
+import subprocess
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+@dataclass(frozen=True)
+class Adapter:
+    name: str
+    argv: tuple[str, ...]
+    inputs: tuple[str, ...]
+    schema: str
+    options: tuple[str, ...] = ()
+
+    def available(self) -> bool:
+        return shutil.which(self.argv[0]) is not None
+
+    def run(self, df: DataFrame) -> DataFrame:
+        command = [*self.argv, *self.options]
+        columns = list(self.inputs)
+        names = [part.split()[0] for part in self.schema.split(",")]
+
+        def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                text = frame[columns].to_csv(sep="\t", header=False, index=False)
+                done = subprocess.run(command, input=text, capture_output=True, text=True, check=True)
+                if done.stdout:
+                    yield pd.read_csv(io.StringIO(done.stdout), sep="\t", header=None, names=names)
+
+        return df.select(*columns).mapInPandas(batches, self.schema)
+
+
+REGISTRY: dict[str, Adapter] = {}
+
+
+def register(name: str, argv: Sequence[str], inputs: Sequence[str], schema: str, options: Sequence[str] = ()) -> Adapter:
+    REGISTRY[name] = Adapter(name, tuple(argv), tuple(inputs), schema, tuple(options))
+    return REGISTRY[name]
