@@ -123,9 +123,9 @@ def long_table(
     ``sample`` (``file_sample`` says which sample's file they came from). Samples without any call
     are skipped with all their effects.
     """
-    calls = caller_rows(query, caller).withColumn("file_sample", F.col("sample"))
+    calls = caller_rows(query.drop(*order), caller).withColumn("file_sample", F.col("sample"))
     with_calls = query.select(F.col("sample").alias("file_sample")).distinct()
-    rows = effect_rows(effects, repeat_neighbours).withColumnRenamed("sample", "file_sample")
+    rows = effect_rows(effects.select(*SITE, *EFFECT_LISTS), repeat_neighbours).withColumnRenamed("sample", "file_sample")
     rows = rows.join(with_calls, "file_sample", "left_semi")
     joined = match_all(calls, rows, ["file_sample", "contig", "pos", "ref", "alt"])
     joined = joined.withColumn("caller", F.lit(caller))
