@@ -36,9 +36,5 @@ def cigar_ops(cigar: Column) -> Column:
 
 def cigar_span(cigar: Column, kinds: str) -> Column:
     """Summed length of the given operation kinds (``MDN=X`` consumes the reference)."""
-    wanted = F.array(*[F.lit(k) for k in kinds])
-    return F.aggregate(
-        cigar_ops(cigar),
-        F.lit(0),
-        lambda acc, p: acc + F.when(F.array_contains(wanted, p["op"]), p["len"]).otherwise(0),
-    )
+    lengths = F.regexp_extract_all(cigar, F.lit(rf"(\d+)[{kinds}]"), 1)
+    return F.aggregate(lengths, F.lit(0), lambda total, n: total + n.cast("int"))

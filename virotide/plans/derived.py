@@ -203,15 +203,18 @@ def widen(df: DataFrame) -> DataFrame:
     return df.repartition(cores, df.columns[0])
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived input as a DataFrame; only the columns it uses are read from the table."""
+def frame(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A derived input as a DataFrame: all of its columns, or the named ones."""
     source, stages = DERIVED[name]
     df = widen(spark.read.parquet(f"{sf_dir}/{source}.parquet"))
     for stage in stages:
         df = df.selectExpr(*[_render(e, True) for e in stage])
+    wanted = columns or df.columns
+    if len(stages) == 1:
+        return df.select(*wanted)
     # A generator keeps these made-up expressions out of later filters: the optimizer would otherwise
     # inline them into every pushed predicate and inferred constraint. Real inputs are plain scans.
-    fields = ", ".join(f"'{c}', `{c}`" for c in df.columns)
+    fields = ", ".join(f"'{c}', `{c}`" for c in wanted)
     return df.selectExpr(f"inline(array(named_struct({fields})))")
 
 

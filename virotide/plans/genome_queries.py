@@ -156,7 +156,7 @@ SPAN = "CASE WHEN cigar = '3S17M' THEN 17 WHEN cigar = '8M2D12M' THEN 22 WHEN ci
     inputs=("reads_aligned",),
 )
 def flag_counts(spark, sf_dir):
-    return alignments.flag_counts(frame(spark, sf_dir, "reads_aligned"))
+    return alignments.flag_counts(frame(spark, sf_dir, "reads_aligned", "sample", "flag"))
 
 
 @query(
@@ -168,7 +168,7 @@ def flag_counts(spark, sf_dir):
     inputs=("reads_aligned",),
 )
 def contig_counts(spark, sf_dir):
-    rows = frame(spark, sf_dir, "reads_aligned")
+    rows = frame(spark, sf_dir, "reads_aligned", "sample", "contig", "flag")
     names = rows.select("contig").distinct().unionByName(spark.range(1).select(F.lit("ctgX").alias("contig")))
     return alignments.contig_counts(rows, names.withColumn("length", F.lit(1000).cast("bigint")))
 
@@ -190,7 +190,7 @@ def alignment_stats(spark, sf_dir):
 
 @query("reads_mapped_sorted", "SELECT sample, qname, flag, contig, pos FROM reads_aligned WHERE flag & 4 = 0 ORDER BY contig, pos", inputs=("reads_aligned",))
 def reads_mapped_sorted(spark, sf_dir):
-    kept = alignments.coordinate_sort(alignments.drop_unmapped(frame(spark, sf_dir, "reads_aligned")))
+    kept = alignments.coordinate_sort(alignments.drop_unmapped(frame(spark, sf_dir, "reads_aligned", "sample", "qname", "flag", "contig", "pos")))
     return kept.select("sample", "qname", "flag", "contig", "pos")
 
 
@@ -201,7 +201,7 @@ DEPTHS = USED + """, pd AS (SELECT sample, contig, pos + i AS pos, count(*) AS d
 
 @query("depth_positions", "WITH " + DEPTHS + "SELECT * FROM pd", inputs=("reads_aligned",))
 def depth_positions(spark, sf_dir):
-    return alignments.depth_positions(alignments.depth_segments(frame(spark, sf_dir, "reads_aligned")))
+    return alignments.depth_positions(alignments.depth_segments(frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar")))
 
 
 CONTIG_LENGTH = "SELECT contig, max(pos) + 30 AS length FROM reads_aligned GROUP BY contig"
@@ -221,7 +221,7 @@ def contig_lengths(rows):
 )
 def depth_zero_filled(spark, sf_dir):
     """Positions without reads count too; filled as segments, then counted by width."""
-    rows = frame(spark, sf_dir, "reads_aligned")
+    rows = frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar")
     filled = alignments.fill_gaps(alignments.depth_segments(rows), contig_lengths(rows))
     width = F.col("end") - F.col("start")
     return filled.groupBy("sample", "contig").agg(
@@ -238,7 +238,7 @@ def depth_zero_filled(spark, sf_dir):
     inputs=("reads_aligned",),
 )
 def depth_windows(spark, sf_dir):
-    rows = frame(spark, sf_dir, "reads_aligned")
+    rows = frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar")
     return alignments.window_depth(alignments.depth_segments(rows), contig_lengths(rows))
 
 
@@ -251,7 +251,7 @@ def depth_windows(spark, sf_dir):
     inputs=("reads_aligned",),
 )
 def depth_regions(spark, sf_dir):
-    segments = alignments.depth_segments(frame(spark, sf_dir, "reads_aligned"))
+    segments = alignments.depth_segments(frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar"))
     return alignments.region_depth(segments, regions(spark, sf_dir), (0, 1, 2))
 
 
@@ -272,7 +272,7 @@ counts AS (SELECT sample, contig, p AS pos, base, count(*) AS n, count(*) FILTER
 
 @query("pileup_counts", "WITH " + BASES + "SELECT * FROM counts", inputs=("reads_aligned",))
 def pileup_counts(spark, sf_dir):
-    return alignments.pileup_counts(frame(spark, sf_dir, "reads_aligned"))
+    return alignments.pileup_counts(frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar", "seq", "qual"))
 
 
 REFERENCE = f"substr('{GENOME}', CAST(1 + pos % {len(GENOME)} AS INT), 1)"
@@ -298,7 +298,7 @@ def site_reference(rows):
     inputs=("reads_aligned",),
 )
 def call_variants(spark, sf_dir):
-    rows = frame(spark, sf_dir, "reads_aligned")
+    rows = frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar", "seq", "qual")
     counts = alignments.pileup_counts(rows)
     return alignments.call_variants(counts, site_reference(rows), min_depth=3).drop("ref_qual")
 
@@ -314,7 +314,7 @@ def call_variants(spark, sf_dir):
     inputs=("reads_aligned",),
 )
 def consensus_from_pileup(spark, sf_dir):
-    counts = alignments.pileup_counts(frame(spark, sf_dir, "reads_aligned"))
+    counts = alignments.pileup_counts(frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar", "seq", "qual"))
     bases = consensus.pileup_consensus(counts, min_depth=3)
     return consensus.chunk_text(bases, ["sample", "contig"], "base")
 
@@ -342,7 +342,7 @@ def mark_duplicates(spark, sf_dir):
     inputs=("reads_aligned",),
 )
 def insert_size_histogram(spark, sf_dir):
-    return alignments.insert_size_histogram(frame(spark, sf_dir, "reads_aligned"))
+    return alignments.insert_size_histogram(frame(spark, sf_dir, "reads_aligned", "sample", "flag", "tlen"))
 
 
 @query(
@@ -379,7 +379,7 @@ def trim_primers(spark, sf_dir):
         start.alias("start"), (start + 1 + F.floor(F.col("p_size") / 5)).alias("end"),
         F.when(F.col("p_size") > 25, "-").otherwise("+").alias("strand"),
     )
-    out = alignments.trim_primers(frame(spark, sf_dir, "reads_aligned"), bed, min_length=10)
+    out = alignments.trim_primers(frame(spark, sf_dir, "reads_aligned", "sample", "qname", "flag", "contig", "pos", "cigar"), bed, min_length=10)
     return out.select("sample", "qname", "flag", "contig", "trim_start", "trim_end", "has_primer")
 
 
