@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 def _text(column: str, null: str) -> Column:
