@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+# Executors get the functions below with the task, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def round_half_even(value: Column, digits: int) -> Column:
     """Round half to even on the binary value (``rint``), not on its decimal text."""
     scale = float(10**digits)
