@@ -40,9 +40,10 @@ def _language_seed(lang: str) -> int:
     return out
 
 
-def keys(codes: list[np.ndarray], seed: np.ndarray | int, context: bool) -> np.ndarray:
+def keys(codes: list[np.ndarray], seed: int, context: bool) -> np.ndarray:
     """Hashes of n-grams (or contexts), given as one array of code points per place."""
-    out = np.full(len(codes[0]) if codes else 1, 2 * len(codes) + context, dtype=np.uint64) + np.asarray(seed, dtype=np.uint64)
+    kind = (2 * len(codes) + int(context) + 1) * 0xD6E8FEB86659FD93 % (1 << 64)  # kinds far apart, so that a code cannot bridge them
+    out = np.full(len(codes[0]) if codes else 1, np.uint64(kind), dtype=np.uint64) + np.uint64(seed)
     for column in codes:
         out = (out ^ column.astype(np.uint64)) * MIX
         out ^= out >> np.uint64(29)
