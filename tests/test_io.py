@@ -146,7 +146,30 @@ def test_stream_upserts_samples(spark, tmp_path):
 
     arrive([("a", 1), ("a", 2), ("b", 5)])
     arrive([("a", 9)])
-    assert rows_of(spark.read.parquet(target).select("sample", "n")) == [("a", 9), ("b", 5)]
+    assert rows_of(spark.read.parquet(target).select("sample", "n")) == [("a", 12), ("b", 5)]
+
+
+def test_stream_does_not_depend_on_batches(spark, tmp_path):
+    landing, target = tmp_path / "in", str(tmp_path / "out")
+    for k in range(3):
+        spark.createDataFrame([("a", 10**k), ("b", k)], "sample string, n bigint").coalesce(1).write.mode("append").parquet(str(landing))
+    stream = sample_stream(spark, str(landing), "sample string, n bigint", files_per_trigger=1)
+    run_per_batch(stream, lambda b: b.groupBy("sample").agg(F.sum("n").alias("n")), target, str(tmp_path / "cp")).awaitTermination()
+    assert rows_of(spark.read.parquet(target).select("sample", "n")) == [("a", 111), ("b", 3)]
+
+
+def test_stream_file_that_comes_again_replaces_its_rows(spark, tmp_path):
+    import shutil
+
+    schema, target = "sample string, n bigint", str(tmp_path / "out")
+    for folder, rows in (("one", [("a", 1), ("a", 2)]), ("two", [("a", 5)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / folder))
+        part = next((tmp_path / folder).glob("part-*.parquet"))
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        shutil.copy(part, tmp_path / "in" / folder / "run.parquet")
+        stream = sample_stream(spark, str(tmp_path / "in" / "*"), schema)
+        run_per_batch(stream, lambda b: b.groupBy("sample").agg(F.sum("n").alias("n")), target, str(tmp_path / "cp")).awaitTermination()
+    assert rows_of(spark.read.parquet(target).select("sample", "n")) == [("a", 5)]
 
 
 def test_short_read_plan(spark):

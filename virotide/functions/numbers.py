@@ -50,6 +50,12 @@ def float_text(value: Column) -> Column:
     )
 
 
+def six_digits(x: Column) -> Column:
+    """``x`` as text tools print it: six significant digits, halves to even."""
+    scale = F.pow(F.lit(10.0), 5 - F.floor(F.log10(F.abs(x))))
+    return F.when(x == 0, x).otherwise(F.rint(x * scale) / scale)
+
+
 def _log_factorial(n: np.ndarray) -> np.ndarray:
     """``ln(n!)``: exact products below 10, Stirling's series above (error < 1e-12)."""
     x = np.maximum(n, 10.0)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from virotide.functions.numbers import ratio
 from virotide.functions.sequence import cigar_ops, cigar_span
+from virotide.operators.channels import product
 from virotide.operators.intervals import overlapping, point_in_interval, split_at
 from virotide.operators.tiles import DEFAULT_WIDTH, attach, next_value, running_sum
 
@@ -68,15 +69,18 @@ def flag_counts(reads: DataFrame) -> DataFrame:
 
 
 def contig_counts(reads: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Mapped and unmapped placed reads per sample and contig, contigs without reads included."""
-    counts = reads.groupBy("sample", "contig").agg(
+    """Mapped and unmapped reads per sample and contig, contigs without reads included.
+
+    Reads without a contig count in the last line of each sample, ``*`` with length 0.
+    """
+    placed = reads.withColumn("contig", F.coalesce("contig", F.lit("*")))
+    counts = placed.groupBy("sample", "contig").agg(
         F.count(F.when(lacks(UNMAPPED), 1)).alias("mapped"), F.count(F.when(has(UNMAPPED), 1)).alias("unmapped")
     )
     # Samples x contigs of the reference: the frame of the report, not of the reads.
-    names = F.array_sort(F.collect_set(F.struct("contig", "length")))
-    listed = contigs.agg(names.alias("contigs")).select("contigs")
-    frame = reads.select("sample").distinct().withColumn("_c", F.explode(listed.scalar()))
-    frame = frame.select("sample", "_c.contig", "_c.length")
+    nowhere = contigs.sparkSession.range(1).select(F.lit("*").alias("contig"), F.lit(0).cast("bigint").alias("length"))
+    listed = contigs.select("contig", F.col("length").cast("bigint").alias("length")).distinct().union(nowhere)
+    frame = product(reads.select("sample").distinct(), listed)
     return frame.join(counts, ["sample", "contig"], "left").fillna(0, ["mapped", "unmapped"])
 
 
@@ -146,10 +150,9 @@ def fill_gaps(
     ``contigs`` (contig, length) is the reference index, tiny against the reads; each sample that
     occurs gets every contig's two edges as empty segments and the gaps open between neighbours.
     """
-    names = contigs.agg(F.collect_list(F.struct("contig", "length")).alias("contigs"))
-    frame = segments.select(*keys).distinct().withColumn("_c", F.explode(names.scalar()))
-    edges = F.array(F.lit(0).cast("bigint"), F.col("_c.length").cast("bigint"))
-    marks = frame.select(*keys, "_c.contig", F.explode(edges).alias("start")).withColumn("end", F.col("start"))
+    frame = product(segments.select(*keys).distinct(), contigs.select("contig", "length"))
+    edges = F.array(F.lit(0).cast("bigint"), F.col("length").cast("bigint"))
+    marks = frame.select(*keys, "contig", F.explode(edges).alias("start")).withColumn("end", F.col("start"))
     group = [*keys, "contig"]
     # Breaks: every start and every end; a gap begins where a segment ends and none starts.
     ends = segments.select(*group, F.col("end").alias("start")).unionByName(marks.select(*group, "start"))
@@ -160,14 +163,25 @@ def fill_gaps(
     return filled.select(*group, "start", "end", "depth")
 
 
-def window_depth(segments: DataFrame, contigs: DataFrame, step: int = 200) -> DataFrame:
-    """Mean depth per fixed window, uncovered bases count as zero, the last window may be short."""
+def window_depth(
+    segments: DataFrame, contigs: DataFrame, step: int = 200, samples: DataFrame | None = None
+) -> DataFrame:
+    """Mean depth per fixed window of every contig, uncovered bases and windows count as zero.
+
+    The last window may be short. Samples are those of ``samples``, else those with any segment.
+    """
     pieces = split_at(segments, step)
     covered = pieces.groupBy("sample", "contig", "window").agg(
         F.sum(F.col("depth") * (F.col("end") - F.col("start"))).alias("bases")
     )
+    last = F.floor((F.col("length") - 1) / step).cast("bigint")
+    windows = contigs.filter(F.col("length") > 0).select(
+        "contig", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("window")
+    )
+    # Samples x windows is the table itself.
+    frame = product((segments if samples is None else samples).select("sample").distinct(), windows)
+    sized = frame.join(covered, ["sample", "contig", "window"], "left").fillna(0, ["bases"])
     first = F.col("window") * step
-    sized = covered.join(contigs, "contig")
     return sized.select(
         "sample",
         "contig",
@@ -178,9 +192,15 @@ def window_depth(segments: DataFrame, contigs: DataFrame, step: int = 200) -> Da
 
 
 def region_depth(
-    segments: DataFrame, regions: DataFrame, thresholds: Sequence[int] = (0, 1, 10, 50, 100, 500)
+    segments: DataFrame,
+    regions: DataFrame,
+    thresholds: Sequence[int] = (0, 1, 10, 50, 100, 500),
+    samples: DataFrame | None = None,
 ) -> DataFrame:
-    """Median depth per region and the bases at or above each threshold.
+    """Median depth per region and the bases at or above each threshold, for every sample and region.
+
+    A region without a read (an amplicon that dropped out) has depth 0. Samples are those of
+    ``samples``, else those with any segment.
 
     Segments meet regions by an overlap join on bins; the median is weighted by overlap length over
     a (region, depth) histogram, so the single bases are never built.
@@ -193,6 +213,12 @@ def region_depth(
     keys = ["sample", "contig", "r_start", "r_end", "r_region"]
     # Bases of the region without any segment have depth 0.
     covered = histogram.groupBy(*keys).agg(F.sum("bases").alias("covered"))
+    listed = regions.select(
+        "contig", F.col("start").alias("r_start"), F.col("end").alias("r_end"), F.col("region").alias("r_region")
+    ).distinct()
+    # Samples x regions is the table itself.
+    frame = product((segments if samples is None else samples).select("sample").distinct(), listed)
+    covered = frame.join(covered, keys, "left").fillna(0, ["covered"])
     missing = covered.withColumn("bases", F.col("r_end") - F.col("r_start") - F.col("covered"))
     zero = missing.filter(F.col("bases") > 0).select(*keys, F.lit(0).cast("bigint").alias("depth"), "bases")
     full = histogram.unionByName(zero)

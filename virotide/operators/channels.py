@@ -18,21 +18,25 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def match_all(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join on null-safe keys, as a left join plus the right rows without partner.
+    """Full outer join on null-safe keys; each side is read and moved once.
 
-    A full outer join cannot be split when one key is hot; a left join and an anti join can, and the
-    keys of the left side are made distinct (map side first) before the anti join.
+    Keys are those of manifests and sites. For a key that holds much of one table use `salted_match`.
     """
-    extra = [c for c in right.columns if c not in keys]
+    same = reduce(lambda x, y: x & y, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    both = left.alias("l").join(right.alias("r"), same, "full_outer")
+    keyed = [F.coalesce(f"l.{c}", f"r.{c}").alias(c) if c in keys else F.col(f"l.{c}") for c in left.columns]
+    return both.select(*keyed, *[F.col(f"r.{c}") for c in right.columns if c not in keys])
 
-    def same(a, b):
-        return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys])
 
-    both = left.alias("l").join(right.alias("r"), same("l", "r"), "left")
-    both = both.select("l.*", *[F.col(f"r.{c}").alias(c) for c in extra])
-    present = left.select(*keys).distinct()
-    rest = right.alias("r").join(present.alias("k"), same("r", "k"), "left_anti")
-    return both.unionByName(rest, allowMissingColumns=True)
+def product(left: DataFrame, right: DataFrame, slots: int = 64) -> DataFrame:
+    """Every left row with every right row, for frames whose product is the result itself.
+
+    ``left`` is dealt to ``slots`` by its content and ``right`` copied to each slot: an equi-join over
+    many tasks, with no list in one cell.
+    """
+    dealt = left.withColumn("_slot", F.pmod(F.xxhash64(*left.columns), F.lit(slots)).cast("int"))
+    copied = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    return dealt.join(copied, "_slot").drop("_slot")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], slots: int = 64) -> DataFrame:

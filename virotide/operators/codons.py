@@ -30,8 +30,8 @@ CODON = ("sample", "contig", "run", "ref_codon")
 
 
 def candidates(variants: DataFrame) -> DataFrame:
-    needed = [*SITE, "ref_codon", "alt_codon"]
-    return variants.filter((F.col("kind") == "SNP") & (F.col("filter") == "PASS")).dropna(subset=needed)
+    """SNPs that pass every filter; a row with a missing value in any column is none."""
+    return variants.filter((F.col("kind") == "SNP") & (F.col("filter") == "PASS")).dropna()
 
 
 def adjacent_runs(rows: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:

@@ -40,18 +40,37 @@ def trimmed_reads(json_text: Column, stage: str = "after_filtering") -> Column:
     return F.coalesce(found.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def mapped_reads(lines: DataFrame, keys: Sequence[str] = ("sample",), order: str = "src") -> DataFrame:
-    """Mapped reads of each flagstat text: first token of the *last* line with `` mapped (``."""
-    hits = lines.filter(F.col("line").contains(" mapped ("))
-    token = F.get(F.split(F.ltrim("line"), r"\s+"), F.lit(0)).cast("bigint")
-    return hits.groupBy(*keys).agg(F.max_by(token, order).alias("mapped"))
+def with_all(counts: DataFrame, samples: DataFrame | None, keys: Sequence[str], count: str) -> DataFrame:
+    """``counts`` with a zero for each listed key that has none."""
+    if samples is None:
+        return counts
+    return samples.select(*keys).distinct().join(counts, list(keys), "left").fillna(0, [count])
 
 
-def record_count(lines: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
-    """Number of records in each variant statistics text."""
-    found = F.regexp_extract("line", r"SN\s+0\s+number of records:\s+(\d+)", 1)
-    hits = lines.withColumn("_n", found).filter(F.col("_n") != "")
-    return hits.groupBy(*keys).agg(F.max(F.col("_n").cast("bigint")).alias("records"))
+def _last_hit(lines: DataFrame, keys: Sequence[str], hit: Column, value: Column, order: str, out: str) -> DataFrame:
+    """Value of each text's last line that is a hit; 0 without one, so that the sample can fail its gate."""
+    last = F.max_by(value, F.when(hit, F.col(order)))
+    return lines.groupBy(*keys).agg(F.coalesce(last, F.lit(0)).cast("bigint").alias(out))
+
+
+def mapped_reads(
+    lines: DataFrame, keys: Sequence[str] = ("sample",), order: str = "src", samples: DataFrame | None = None
+) -> DataFrame:
+    """Mapped reads of each flagstat text: first token of the *last* line with `` mapped (``, else 0.
+
+    ``samples`` lists samples that count as 0 even without a text.
+    """
+    hit = F.col("line").contains(" mapped (")
+    token = F.get(F.split(F.ltrim("line"), r"\s+"), F.lit(0)).try_cast("bigint")
+    return with_all(_last_hit(lines, keys, hit, token, order, "mapped"), samples, keys, "mapped")
+
+
+def record_count(
+    lines: DataFrame, keys: Sequence[str] = ("sample",), order: str = "src", samples: DataFrame | None = None
+) -> DataFrame:
+    """Number of records in each variant statistics text, from its last such line, else 0."""
+    found = F.regexp_extract("line", r"SN\s*0\s*number of records:\s*(\d+)", 1)
+    return with_all(_last_hit(lines, keys, found != "", found.try_cast("bigint"), order, "records"), samples, keys, "records")
 
 
 def reconcile_barcodes(
@@ -84,7 +103,8 @@ def endedness(manifest: DataFrame) -> DataFrame:
     )
 
 
-def nonempty_contigs(contigs: DataFrame, min_length: int = 1) -> DataFrame:
-    """Assemblies with any contig, by summed length."""
+def nonempty_contigs(contigs: DataFrame, min_length: int = 1, samples: DataFrame | None = None) -> DataFrame:
+    """Assemblies with any contig, by summed length; listed samples without one have 0 bases."""
     totals = contigs.groupBy("sample").agg(F.sum(F.length("seq")).alias("bases"))
+    totals = with_all(totals, samples, ["sample"], "bases")
     return strict_gate(totals, "bases", min_length - 1)

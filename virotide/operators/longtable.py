@@ -124,12 +124,10 @@ def long_table(
     are skipped with all their effects.
     """
     calls = caller_rows(query.drop(*order), caller).withColumn("file_sample", F.col("sample"))
-    with_calls = query.select(F.col("sample").alias("file_sample")).distinct()
     rows = effect_rows(effects.select(*SITE, *EFFECT_LISTS), repeat_neighbours).withColumnRenamed("sample", "file_sample")
-    rows = rows.join(with_calls, "file_sample", "left_semi")
     joined = match_all(calls, rows, ["file_sample", "contig", "pos", "ref", "alt"])
-    joined = joined.withColumn("caller", F.lit(caller))
-    if lineages is None:
-        return joined
-    named = lineage_of(lineages, order).withColumnRenamed("sample", "file_sample")
-    return joined.join(named, "file_sample", "left")
+    # One small table of samples says which have calls, and their lineages.
+    known = query.select(F.col("sample").alias("file_sample")).distinct()
+    if lineages is not None:
+        known = known.join(lineage_of(lineages, order).withColumnRenamed("sample", "file_sample"), "file_sample", "left")
+    return joined.join(known, "file_sample").withColumn("caller", F.lit(caller))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from virotide.functions.numbers import ratio
+from virotide.operators.channels import product
+from virotide.operators.gates import with_all
 
 
 def qualities(qual: Column) -> Column:
@@ -132,8 +134,9 @@ def amplicon_lengths(primer_set_version: object) -> tuple[int, int]:
     return (250, 1500) if str(primer_set_version) == "1200" else (400, 700)
 
 
-def pooled_reads(reads: DataFrame) -> DataFrame:
-    return reads.groupBy("sample").agg(F.count(F.lit(1)).alias("count"))
+def pooled_reads(reads: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Reads per sample; a listed sample without any has 0, so that it can fail its gate."""
+    return with_all(reads.groupBy("sample").agg(F.count(F.lit(1)).alias("count")), samples, ["sample"], "count")
 
 
 def mate_files(files: DataFrame, single_end: bool = False, index: str = "idx") -> DataFrame:
@@ -177,8 +180,7 @@ def classification_report(assignments: DataFrame, taxa: DataFrame) -> DataFrame:
     """
     counts = assignments.groupBy("sample", "taxid").agg(F.count(F.lit(1)).alias("reads"))
     totals = counts.groupBy("sample").agg(F.sum("reads").alias("total"))
-    listed = taxa.agg(F.array_sort(F.collect_set("taxid")).alias("ids"))
-    frame = totals.withColumn("taxid", F.explode(listed.scalar()))
+    frame = product(totals, taxa.select("taxid").distinct())
     full = frame.join(counts, ["sample", "taxid"], "left").fillna(0, ["reads"])
     return full.select("sample", "taxid", "reads", ratio(F.lit(100) * F.col("reads"), F.col("total")).alias("percent"))
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from virotide.functions.numbers import ratio
+from virotide.functions.numbers import ratio, six_digits
 from virotide.operators.channels import mix
 
 # Fields that are cut to whole numbers.
@@ -194,10 +194,15 @@ def metrics_table(
 
 
 def filter_hits(hits: DataFrame, min_length: int = 200, min_aligned: float = 0.7) -> DataFrame:
-    """Keep hits of long, well-aligned contigs whose title does not name a phage (case-sensitive)."""
-    shares = hits.withColumn("contig_aligned", ratio(F.col("length"), F.col("qlen"))).withColumn(
-        "reference_covered", ratio(F.col("length"), F.col("slen"))
-    )
+    """Keep hits of long, well-aligned contigs whose title does not name a phage (case-sensitive).
+
+    Shares are printed with six significant digits before they are compared, as in the behaviour to match.
+    """
+
+    def share(whole: str) -> Column:
+        return six_digits(ratio(F.col("length"), F.col(whole)))
+
+    shares = hits.withColumn("contig_aligned", share("qlen")).withColumn("reference_covered", share("slen"))
     return shares.filter(
         (F.col("qlen") > min_length) & (F.col("contig_aligned") > min_aligned) & ~F.col("stitle").rlike("phage")
     )
@@ -213,25 +218,11 @@ def merge_coverage(coverage: DataFrame, region_prefix: str | None = None) -> Dat
     return coverage
 
 
-def region_order(coverage: DataFrame) -> list[str]:
-    """Region names by their first start. Regions are the amplicons of one scheme, a bounded list."""
-    starts = coverage.groupBy("region").agg(F.min("start").alias("start")).orderBy("start", "region")
-    names = [row["region"] for row in starts.limit(MAX_REGIONS + 1).collect()]
-    if len(names) > MAX_REGIONS:
-        raise ValueError("too many regions for a wide table; use heatmap_cells")
-    return names
-
-
-# Spark's own limit on the number of pivot columns.
-MAX_REGIONS = 10000
-
-
 def heatmap_cells(coverage: DataFrame) -> DataFrame:
-    """(sample, region, log10(coverage + 1)) in long form, which holds any number of regions."""
+    """The heatmap in long form, (sample, region, log10(coverage + 1)): it holds any number of regions."""
     return coverage.groupBy("sample", "region").agg(F.max(F.log10(F.col("coverage") + 1)).alias("value"))
 
 
-def heatmap(coverage: DataFrame, regions: Sequence[str] | None = None) -> DataFrame:
-    """Samples x regions matrix of log10(coverage + 1), columns in start order."""
-    names = list(regions) if regions is not None else region_order(coverage)
-    return heatmap_cells(coverage).groupBy("sample").pivot("region", names).agg(F.first("value"))
+def heatmap(coverage: DataFrame, regions: Sequence[str]) -> DataFrame:
+    """Samples x regions matrix of log10(coverage + 1) for a given scheme's regions, in the order given."""
+    return heatmap_cells(coverage).groupBy("sample").pivot("region", list(regions)).agg(F.first("value"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from virotide.functions.numbers import fisher_greater, float_text, ratio
 from virotide.functions.text import join_labels, pad_centre, pad_left
+from virotide.operators.channels import number_within
 
 SITE = ("sample", "contig", "pos", "ref", "alt")
 
@@ -95,17 +96,19 @@ def first_per_site(
     return picked.select(*keys, "_v.*")
 
 
-def unique_adjacent(variants: DataFrame, src: str = "src") -> DataFrame:
-    """Drop records equal to the record on the line before (``src`` is the dense line number).
+def unique_adjacent(variants: DataFrame, order: Sequence[str] = ("src",)) -> DataFrame:
+    """Drop records equal to the record on the line before, in the readers' ``order`` (gaps do not matter).
 
-    "The line before" is an equi-join on unique keys, not a window over the file.
+    Lines are numbered per sample by many tasks; "the line before" is then an equi-join on unique keys.
     """
+    src = "_number"
+    variants = number_within(variants, ["sample"], list(order), src)
     same = [F.col(f"v.{c}").eqNullSafe(F.col(f"b.{c}")) for c in SITE]
     before = variants.select(*SITE, (F.col(src) + 1).alias("_line"))
     condition = (F.col("v.sample") == F.col("b.sample")) & (F.col(f"v.{src}") == F.col("b._line"))
     for test in same[1:]:
         condition = condition & test
-    return variants.alias("v").join(before.alias("b"), condition, "left_anti")
+    return variants.alias("v").join(before.alias("b"), condition, "left_anti").drop(src)
 
 
 def split_alleles(

@@ -97,11 +97,11 @@ def mask_merged(spark, sf_dir):
 
 @query(
     "contigs_missing",
-    "SELECT DISTINCT contig FROM intervals WHERE contig NOT IN (SELECT event_type FROM events WHERE value > 30 AND event_type < 'f')",
+    "SELECT DISTINCT contig FROM intervals WHERE contig NOT IN (SELECT CASE WHEN n_name < 'M' THEN 'click' ELSE 'view' END FROM nation)",
     inputs=("intervals",),
 )
 def contigs_missing(spark, sf_dir):
-    known = table(spark, sf_dir, "events").filter("value > 30 AND event_type < 'f'").select(F.col("event_type").alias("contig"))
+    known = table(spark, sf_dir, "nation").select(F.when(F.col("n_name") < "M", "click").otherwise("view").alias("contig"))
     return intervals.contigs_missing(frame(spark, sf_dir, "intervals"), known)
 
 
@@ -161,15 +161,20 @@ def flag_counts(spark, sf_dir):
 
 @query(
     "contig_counts",
-    """WITH c AS (SELECT DISTINCT contig, CAST(1000 AS BIGINT) AS length FROM reads_aligned UNION SELECT 'ctgX', 1000),
+    """WITH c AS (SELECT DISTINCT contig, CAST(1000 AS BIGINT) AS length FROM reads_aligned UNION SELECT 'ctgX', 1000 UNION SELECT '*', 0),
+         r AS (SELECT sample, CASE WHEN flag & 12 = 12 OR mapq = 0 THEN '*' ELSE contig END AS contig, flag FROM reads_aligned),
          s AS (SELECT DISTINCT sample FROM reads_aligned)
        SELECT s.sample, c.contig, c.length, count(*) FILTER (flag & 4 = 0) AS mapped, count(*) FILTER (flag & 4 = 4) AS unmapped
-       FROM s CROSS JOIN c LEFT JOIN reads_aligned r ON r.sample = s.sample AND r.contig = c.contig GROUP BY ALL""",
+       FROM s CROSS JOIN c LEFT JOIN r ON r.sample = s.sample AND r.contig = c.contig GROUP BY ALL""",
     inputs=("reads_aligned",),
 )
 def contig_counts(spark, sf_dir):
-    rows = frame(spark, sf_dir, "reads_aligned", "sample", "contig", "flag")
-    names = rows.select("contig").distinct().unionByName(spark.range(1).select(F.lit("ctgX").alias("contig")))
+    """Reads of mapping quality 0 stand for those without a contig."""
+    rows = frame(spark, sf_dir, "reads_aligned", "sample", "contig", "flag", "mapq")
+    nowhere = alignments.has(alignments.UNMAPPED, alignments.MATE_UNMAPPED) | (F.col("mapq") == 0)
+    listed = rows.select("contig").distinct()
+    rows = rows.withColumn("contig", F.when(~nowhere, F.col("contig")))
+    names = listed.unionByName(spark.range(1).select(F.lit("ctgX").alias("contig")))
     return alignments.contig_counts(rows, names.withColumn("length", F.lit(1000).cast("bigint")))
 
 
@@ -232,27 +237,29 @@ def depth_zero_filled(spark, sf_dir):
 
 @query(
     "depth_windows",
-    "WITH " + DEPTHS + f""", c AS ({CONTIG_LENGTH})
-      SELECT sample, contig, w * 200 AS "start", least(w * 200 + 200, length) AS "end", bases / (least(w * 200 + 200, length) - w * 200) AS coverage
-      FROM (SELECT sample, contig, CAST(floor((pos - 1) / 200) AS BIGINT) AS w, sum(depth) AS bases FROM pd GROUP BY ALL) JOIN c USING (contig)""",
+    "WITH " + DEPTHS + f""", c AS ({CONTIG_LENGTH}), s AS (SELECT DISTINCT sample FROM reads_aligned),
+      f AS (SELECT s.sample, c.contig, length, unnest(range(CAST(floor((length - 1) / 200) AS BIGINT) + 1)) AS w FROM s CROSS JOIN c),
+      g AS (SELECT sample, contig, CAST(floor((pos - 1) / 200) AS BIGINT) AS w, sum(depth) AS bases FROM pd GROUP BY ALL)
+      SELECT sample, contig, w * 200 AS "start", least(w * 200 + 200, length) AS "end", coalesce(bases, 0) / (least(w * 200 + 200, length) - w * 200) AS coverage
+      FROM f LEFT JOIN g USING (sample, contig, w)""",
     inputs=("reads_aligned",),
 )
 def depth_windows(spark, sf_dir):
     rows = frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar")
-    return alignments.window_depth(alignments.depth_segments(rows), contig_lengths(rows))
+    return alignments.window_depth(alignments.depth_segments(rows), contig_lengths(rows), samples=rows)
 
 
 @query(
     "depth_regions",
-    "WITH " + DEPTHS + "," + REGIONS + """, hit AS (SELECT DISTINCT pd.sample, r.* FROM pd JOIN regions r ON pd.contig = r.contig AND pd.pos > r."start" AND pd.pos <= r."end"),
+    "WITH " + DEPTHS + "," + REGIONS + """, hit AS (SELECT s.sample, r.* FROM (SELECT DISTINCT sample FROM reads_aligned) s CROSS JOIN regions r),
       f AS (SELECT *, unnest(range("start" + 1, "end" + 1)) AS pos FROM hit)
       SELECT sample, contig, "start", "end", region, median(coalesce(depth, 0)) AS coverage, count(*) AS at_0x,
         count(*) FILTER (depth >= 1) AS at_1x, count(*) FILTER (depth >= 2) AS at_2x FROM f LEFT JOIN pd USING (sample, contig, pos) GROUP BY ALL""",
     inputs=("reads_aligned",),
 )
 def depth_regions(spark, sf_dir):
-    segments = alignments.depth_segments(frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar"))
-    return alignments.region_depth(segments, regions(spark, sf_dir), (0, 1, 2))
+    rows = frame(spark, sf_dir, "reads_aligned", "sample", "contig", "pos", "flag", "cigar")
+    return alignments.region_depth(alignments.depth_segments(rows), regions(spark, sf_dir), (0, 1, 2), samples=rows)
 
 
 # Aligned bases of the four CIGAR shapes, stated position by position.

@@ -156,13 +156,13 @@ def clade_last_row(spark, sf_dir):
 
 @query(
     "sample_set_mismatch",
-    """WITH a AS (SELECT DISTINCT l_suppkey AS s FROM lineitem), b AS (SELECT s_suppkey AS s FROM supplier WHERE s_acctbal > 1000)
+    """WITH a AS (SELECT DISTINCT l_suppkey AS s FROM lineitem), b AS (SELECT s_suppkey + 3 AS s FROM supplier)
        SELECT 'S' || coalesce(a.s, b.s) AS sample, CAST(1 AS BIGINT) AS inputs FROM a FULL OUTER JOIN b ON a.s = b.s
        WHERE a.s IS NULL OR b.s IS NULL""",
 )
 def sample_set_mismatch(spark, sf_dir):
-    rich = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 1000)
-    effect_samples = rich.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("sample"))
+    shifted = (F.col("s_suppkey") + 3).cast("string")
+    effect_samples = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), shifted).alias("sample"))
     return longtable.sample_set_mismatch(frame(spark, sf_dir, "calls"), effect_samples)
 
 
@@ -246,9 +246,9 @@ def metrics_long_read_variants(spark, sf_dir):
 
 @query(
     "hit_filter",
-    """SELECT sample, stitle, qaccver, saccver, length, qlen, slen, length / qlen AS contig_aligned,
-         length / slen AS reference_covered FROM hits
-       WHERE qlen > 200 AND length / qlen > 0.7 AND stitle NOT LIKE '%phage%'""",
+    """SELECT * FROM (SELECT sample, stitle, qaccver, saccver, length, qlen, slen, CAST(format('{:.6g}', length / qlen) AS DOUBLE) AS contig_aligned,
+         CAST(format('{:.6g}', length / slen) AS DOUBLE) AS reference_covered FROM hits)
+       WHERE qlen > 200 AND contig_aligned > 0.7 AND stitle NOT LIKE '%phage%'""",
     inputs=("hits",),
 )
 def hit_filter(spark, sf_dir):
@@ -286,7 +286,7 @@ def coverage_merge(spark, sf_dir):
     + " FROM cov GROUP BY sample",
 )
 def coverage_heatmap(spark, sf_dir):
-    wide = report.heatmap(report.merge_coverage(coverage_rows(spark, sf_dir), "^pre_"))
+    wide = report.heatmap(report.merge_coverage(coverage_rows(spark, sf_dir), "^pre_"), ("AF", "AO", "NF", "NO", "RF", "RO"))
     return wide.select("sample", *[F.round(F.col(c), 6).alias(c) for c in wide.columns if c != "sample"])
 
 
@@ -327,39 +327,50 @@ def flagstat_lines(spark, sf_dir):
     )
 
 
+def customers(spark, sf_dir):
+    """The sample list: all customers, also those without an order."""
+    return table(spark, sf_dir, "customer").select(F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("sample"))
+
+
 @query(
     "gate_mapped_reads",
     """SELECT sample, mapped, CASE WHEN mapped > 1000 THEN 'pass' ELSE 'fail' END AS gate FROM (
-         SELECT 'S' || o_custkey AS sample, arg_max(CAST(floor(o_totalprice / 200) AS BIGINT), o_orderkey) AS mapped
-         FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1)""",
+         SELECT 'S' || c_custkey AS sample, coalesce(arg_max(CAST(floor(o_totalprice / 200) AS BIGINT), o_orderkey), 0) AS mapped
+         FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus IN ('F', 'O') GROUP BY 1)""",
 )
 def gate_mapped_reads(spark, sf_dir):
-    return gates.strict_gate(gates.mapped_reads(flagstat_lines(spark, sf_dir)), "mapped", gates.MIN_MAPPED_READS)
+    """Every customer is a sample; those without orders, or without a hit in their text, count 0 and fail."""
+    counts = gates.mapped_reads(flagstat_lines(spark, sf_dir), samples=customers(spark, sf_dir))
+    return gates.strict_gate(counts, "mapped", gates.MIN_MAPPED_READS)
 
 
 @query(
     "gate_mapped_fail_table",
     """SELECT sample AS "Sample", mapped AS "Mapped reads" FROM (
-         SELECT 'S' || o_custkey AS sample, arg_max(CAST(floor(o_totalprice / 200) AS BIGINT), o_orderkey) AS mapped
-         FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1) WHERE mapped <= 1000""",
+         SELECT 'S' || c_custkey AS sample, coalesce(arg_max(CAST(floor(o_totalprice / 200) AS BIGINT), o_orderkey), 0) AS mapped
+         FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus IN ('F', 'O') GROUP BY 1) WHERE mapped <= 1000""",
 )
 def gate_mapped_fail_table(spark, sf_dir):
-    gated = gates.strict_gate(gates.mapped_reads(flagstat_lines(spark, sf_dir)), "mapped", gates.MIN_MAPPED_READS)
+    counts = gates.mapped_reads(flagstat_lines(spark, sf_dir), samples=customers(spark, sf_dir))
+    gated = gates.strict_gate(counts, "mapped", gates.MIN_MAPPED_READS)
     return gates.fail_table(gated, {"sample": "Sample", "mapped": "Mapped reads"})
 
 
 @query(
     "gate_variant_records",
     """SELECT sample, records, CASE WHEN records > 0 THEN 'pass' ELSE 'fail' END AS gate FROM (
-         SELECT 'S' || o_custkey AS sample, max(CAST(floor(o_totalprice / 400000) AS BIGINT)) AS records FROM orders GROUP BY 1)""",
+         SELECT 'S' || c_custkey AS sample, coalesce(arg_max(CAST(floor(o_totalprice / 200000) AS BIGINT), o_orderkey), 0) AS records
+         FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus <> 'P' GROUP BY 1)""",
 )
 def gate_variant_records(spark, sf_dir):
-    n = F.floor(F.col("o_totalprice") / 400000).cast("string")
+    """The last count of each text; texts of other numbers only, and samples without a text, have 0."""
+    n = F.floor(F.col("o_totalprice") / 200000).cast("string")
+    kind = F.when(F.col("o_orderstatus") == "P", "number of samples:").otherwise("number of records:")
     lines = table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("sample"),
-        F.concat(F.lit("SN\t0\tnumber of records:\t"), n).alias("line"),
-    )
-    return gates.strict_gate(gates.record_count(lines), "records", 0)
+        F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("sample"), F.col("o_orderkey").alias("src"),
+        F.concat(F.lit("SN\t0\t"), kind, F.lit("\t"), n).alias("line"),
+    )
+    return gates.strict_gate(gates.record_count(lines, samples=customers(spark, sf_dir)), "records", 0)
 
 
 @query(
@@ -376,11 +387,13 @@ def gate_barcode_reads(spark, sf_dir):
 @query(
     "gate_pooled_reads",
     """SELECT sample, "count", CASE WHEN "count" > 5 THEN 'pass' ELSE 'fail' END AS gate FROM (
-         SELECT 'c' || conv_id AS sample, count(*) AS "count" FROM conversations
-         WHERE length(text) BETWEEN 100 AND 700 GROUP BY 1) WHERE "count" <> 5""",
+         SELECT 'c' || conv_id AS sample, count(*) FILTER (length(text) BETWEEN 100 AND 700) AS "count" FROM conversations
+         GROUP BY 1) WHERE "count" <> 5""",
 )
 def gate_pooled_reads(spark, sf_dir):
-    pooled = reads.pooled_reads(reads.length_filter(frame(spark, sf_dir, "reads"), 100, 700))
+    """Samples none of whose reads has the length count 0 and fail."""
+    pool = frame(spark, sf_dir, "reads")
+    pooled = reads.pooled_reads(reads.length_filter(pool, 100, 700), samples=pool)
     return gates.count_gate(pooled, "count", 5)
 
 
@@ -395,16 +408,16 @@ def gate_nonempty_contigs(spark, sf_dir):
 
 @query(
     "reconcile_barcodes",
-    """WITH s AS (SELECT c_custkey AS barcode, c_name AS sample FROM customer WHERE c_nationkey < 18),
-         f AS (SELECT o_custkey AS barcode, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
+    """WITH s AS (SELECT c_custkey * 2 AS barcode, c_name AS sample FROM customer),
+         f AS (SELECT o_custkey AS barcode, count(*) AS n FROM orders GROUP BY 1)
        SELECT coalesce(s.barcode, f.barcode) AS barcode, sample, n AS "count",
          CASE WHEN s.barcode IS NULL THEN 'no_sample' WHEN f.barcode IS NULL THEN 'no_barcode' ELSE 'both' END AS outcome
        FROM s FULL OUTER JOIN f ON s.barcode = f.barcode WHERE s.barcode IS NOT NULL OR n >= 4""",
 )
 def reconcile_barcodes(spark, sf_dir):
-    sheet = table(spark, sf_dir, "customer").filter(F.col("c_nationkey") < 18)
-    sheet = sheet.select(F.col("c_custkey").alias("barcode"), F.col("c_name").alias("sample"))
-    folders = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
+    sheet = table(spark, sf_dir, "customer")
+    sheet = sheet.select((F.col("c_custkey") * 2).alias("barcode"), F.col("c_name").alias("sample"))
+    folders = table(spark, sf_dir, "orders")
     counts = folders.groupBy(F.col("o_custkey").alias("barcode")).agg(F.count(F.lit(1)).alias("count"))
     return gates.reconcile_barcodes(sheet, counts, 4)
 
@@ -488,10 +501,10 @@ def manifest_folder_counts(spark, sf_dir):
 
 @query(
     "channel_match",
-    """SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_acctbal > 5000""",
+    """SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer JOIN orders ON c_custkey = o_custkey""",
 )
 def channel_match(spark, sf_dir):
-    people = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 5000).select("c_custkey", "c_name")
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     runs = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
     return channels.match(people, runs, ["c_custkey"])
 
@@ -511,13 +524,12 @@ def channel_salted_match(spark, sf_dir):
 
 @query(
     "channel_match_all",
-    """SELECT coalesce(c_custkey, k) AS c_custkey, c_name, n FROM (SELECT * FROM customer WHERE c_acctbal > 2000)
-       FULL OUTER JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) ON c_custkey = k""",
+    """SELECT coalesce(c_custkey, k) AS c_custkey, c_name, n FROM (SELECT c_custkey * 3 AS c_custkey, c_name FROM customer)
+       FULL OUTER JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = k""",
 )
 def channel_match_all(spark, sf_dir):
-    people = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 2000).select("c_custkey", "c_name")
-    late = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
-    counts = late.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    people = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 3).alias("c_custkey"), "c_name")
+    counts = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
     return channels.match_all(people, counts, ["c_custkey"])
 
 
@@ -551,12 +563,18 @@ def channel_branch(spark, sf_dir):
     return channels.branch(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), {"high": price > 300000, "low": price < 100000}).drop("o_totalprice")
 
 
-@query("channel_or_default", "SELECT 'none' AS o_orderstatus, CAST(-1 AS BIGINT) AS n")
+@query(
+    "channel_or_default",
+    """WITH c AS (SELECT o_custkey AS k, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL), large AS (SELECT * FROM c WHERE n > 1000000)
+       SELECT 'full' AS part, o_orderstatus, n FROM c UNION ALL SELECT 'empty', o_orderstatus, n FROM large
+       UNION ALL SELECT 'empty', 'none', -1 WHERE NOT EXISTS (SELECT 1 FROM large)""",
+)
 def channel_or_default(spark, sf_dir):
-    """An empty selection of the orders gives the default row."""
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") < 0)
-    counts = orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    return channels.or_default(counts, o_orderstatus="none", n=-1).select("o_orderstatus", F.col("n").cast("bigint").alias("n"))
+    """Counts over all orders stay as they are; a selection of them that is empty gives the default row."""
+    counts = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    parts = {"full": counts, "empty": counts.filter("n > 1000000")}
+    filled = [channels.or_default(df, o_orderstatus="none", n=-1).select(F.lit(part).alias("part"), "o_orderstatus", F.col("n").cast("bigint").alias("n")) for part, df in parts.items()]
+    return channels.mix(*filled)
 
 
 @query(
@@ -575,9 +593,9 @@ def channel_unique(spark, sf_dir):
 
 @query(
     "contig_difference",
-    """SELECT n_nationkey AS contig, n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9950) AS known FROM nation""",
+    """SELECT DISTINCT o_custkey AS contig, o_custkey IN (SELECT c_custkey * 2 FROM customer) AS known FROM orders""",
 )
 def contig_difference(spark, sf_dir):
-    wanted = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("contig"))
-    known = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 9950).select(F.col("c_nationkey").alias("contig"))
+    wanted = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("contig"))
+    known = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("contig"))
     return channels.contig_difference(wanted, known)

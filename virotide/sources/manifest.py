@@ -35,11 +35,19 @@ def sheet_errors(sheet: DataFrame) -> DataFrame:
     return sheet.withColumn("errors", reasons).filter(F.size("errors") > 0)
 
 
-def checked_sheet(sheet: DataFrame) -> DataFrame:
-    """The sheet itself; fails with the rows that break a rule."""
-    wrong = sheet_errors(sheet).limit(20).collect()
-    if wrong:
-        raise ValueError("invalid sample sheet rows: " + "; ".join(f"{r['sample']} ({', '.join(r['errors'])})" for r in wrong))
+def checked_sheet(sheet: DataFrame, error_table: str | None = None) -> DataFrame:
+    """The sheet itself; fails if rows break a rule, naming their number and some of them.
+
+    The whole table of errors goes to ``error_table`` (Parquet) if given; `sheet_errors` has it too.
+    """
+    wrong = sheet_errors(sheet)
+    if error_table:
+        wrong.write.mode("overwrite").parquet(error_table)
+        wrong = sheet.sparkSession.read.parquet(error_table)
+    count = wrong.count()
+    if count:
+        shown = "; ".join(f"{r['sample']} ({', '.join(r['errors'])})" for r in wrong.take(20))
+        raise ValueError(f"{count} invalid sample sheet rows, among them: {shown}")
     return sheet
 
 
