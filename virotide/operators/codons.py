@@ -5,7 +5,7 @@ The steps, each a DataFrame function with its own fixture:
     candidates      passing SNPs with both codons known
     adjacent_runs   runs of candidates whose steps are at most 1 (skew-safe, tile by tile)
     codon_groups    rows of one run and one reference codon, cut where the codon index falls back
-    allele_paths    one row per choice of allele where a position has several
+    allele_paths    every choice of alleles where a position has several
     merge_*         paths to variants, under the consensus rule or the keep-all rule
 
 Only ``adjacent_runs`` works along the genome. From there on the unit is one run, that is one stretch
@@ -15,6 +15,7 @@ of directly neighbouring changed positions of one sample, after copies were fold
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,9 +30,14 @@ PLACE = ("sample", "contig")
 CODON = ("sample", "contig", "run", "ref_codon")
 
 
+def is_candidate(variants: DataFrame) -> Column:
+    """A SNP that passes every filter and has a value in every column."""
+    whole = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in variants.columns])
+    return whole & (F.col("kind") == "SNP") & (F.col("filter") == "PASS")
+
+
 def candidates(variants: DataFrame) -> DataFrame:
-    """SNPs that pass every filter; a row with a missing value in any column is none."""
-    return variants.filter((F.col("kind") == "SNP") & (F.col("filter") == "PASS")).dropna()
+    return variants.filter(is_candidate(variants))
 
 
 def adjacent_runs(rows: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
@@ -58,58 +64,63 @@ def changed_index() -> Column:
     return F.when(F.size(hits) == 1, F.get(hits, F.lit(0)))
 
 
-def codon_groups(runs: DataFrame, order: Sequence[str] = ("src",)) -> DataFrame:
-    """Number the codon groups of each (run, reference codon).
+def label_groups(runs: DataFrame, order: Sequence[str] = ("src",)) -> DataFrame:
+    """``grouped`` and ``part`` for every row of every run: the codon group it belongs to, if any.
 
     Adjacency is tested again among rows of equal codon text; a set on one position only is no
-    group. Rows with conflicting codons leave before the index step is looked at.
+    group. Rows with conflicting codons leave before the index step is looked at. All of it is one
+    exchange by run and one sort: what leaves is flagged, not filtered, so nothing is joined back.
     """
+    # One exchange serves the windows and the aggregate behind them.
+    dealt = runs.repartition(*PLACE, "run").withColumn("idx", changed_index())
     line = Window.partitionBy(*CODON).orderBy("pos", *order)
-    whole = Window.partitionBy(*CODON)
     to_last = F.coalesce(F.col("pos") - F.lag("pos").over(line) <= 1, F.lit(False))
     to_next = F.coalesce(F.lead("pos").over(line) - F.col("pos") <= 1, F.lit(False))
-    close = runs.withColumn("_near", to_last | to_next).filter("_near").drop("_near")
-    spread = close.withColumn("_wide", F.min("pos").over(whole) < F.max("pos").over(whole))
-    indexed = spread.filter("_wide").withColumn("idx", changed_index()).filter(F.col("idx").isNotNull())
-    falls = F.when(F.col("idx") < F.lag("idx").over(line), 1).otherwise(0)
-    return indexed.withColumn("_fall", falls).withColumn(
+    near = dealt.withColumn("_near", F.when(to_last | to_next, F.col("pos")))
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wide = F.coalesce(F.min("_near").over(whole) < F.max("_near").over(whole), F.lit(False))
+    spread = near.withColumn("grouped", wide & F.col("_near").isNotNull() & F.col("idx").isNotNull())
+    before = F.last(F.when(F.col("grouped"), F.col("idx")), ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    falls = F.when(F.col("grouped") & (F.col("idx") < before), 1).otherwise(0)
+    return spread.withColumn("_fall", falls).withColumn(
         "part", F.sum("_fall").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).drop("_wide", "_fall")
+    ).drop("_near", "_fall")
 
 
-def _rows_of_groups(groups: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One row per group with its members in (pos, order); a group lies inside one run."""
-    rest = [c for c in groups.columns if c not in (*CODON, "part", "pos", *order)]
-    member = F.struct("pos", *order, *rest)
-    return groups.groupBy(*CODON, "part").agg(F.array_sort(F.collect_list(member)).alias("rows"))
+def codon_groups(runs: DataFrame, order: Sequence[str] = ("src",)) -> DataFrame:
+    """The rows of codon groups, with the number of their group in the run and its codon text."""
+    return label_groups(runs, order).filter("grouped").drop("grouped")
 
 
-def allele_paths(grouped: DataFrame) -> DataFrame:
-    """Every choice of one row per position (one path where no position repeats)."""
-    first_of = F.expr(
-        "filter(rows, (r, i) -> i = 0 OR r.pos <> rows[i - 1].pos)"
-    )
-    firsts = F.transform(first_of, lambda r: r["pos"])
-    empty = F.expr("array(filter(rows, r -> false))")
+def allele_paths(rows: Column) -> Column:
+    """Every choice of one row per position, as an array of arrays of rows (one where no position repeats)."""
+    places = F.array_distinct(F.transform(rows, lambda r: r["pos"]))
+    none = F.array(F.filter(rows, lambda r: F.lit(False)))
 
     def extend(paths, pos):
-        here = F.filter(F.col("rows"), lambda r: r["pos"] == pos)
+        here = F.filter(rows, lambda r: r["pos"] == pos)
         return F.flatten(F.transform(paths, lambda p: F.transform(here, lambda r: F.concat(p, F.array(r)))))
 
-    paths = F.aggregate(firsts, empty, extend)
-    return grouped.withColumn("path", F.explode(paths)).drop("rows")
+    return F.aggregate(places, none, extend)
+
 
+def _single(row: Column, own: Sequence[str]) -> Column:
+    nothing = F.lit(None).cast("string")
+    return F.struct(
+        *[row[c].alias(c) for c in own],
+        nothing.alias("merged_min_af"), nothing.alias("merged_af"), nothing.alias("merged_dp"),
+    )
 
-def _outcomes(settle, columns: Sequence[str]) -> Column:
-    """Per path, the variants it turns into, as an array of rows of one type."""
-    own = [c for c in columns if c not in (*PLACE, "ref_codon")]
-    freqs = F.transform("path", lambda r: float_text(r["alt_freq"]))
-    depths = F.transform("path", lambda r: r["alt_dp"].cast("string"))
-    size = F.size("path")
-    first = F.get("path", F.lit(0))
+
+def _outcome(path: Column, settle, own: Sequence[str]) -> Column:
+    """The variants one path turns into, as an array of rows of one type."""
+    freqs = F.transform(path, lambda r: float_text(r["alt_freq"]))
+    depths = F.transform(path, lambda r: r["alt_dp"].cast("string"))
+    size = F.size(path)
+    first = F.get(path, F.lit(0))
 
     def joined(field):
-        return F.array_join(F.transform("path", lambda r: r[field]), "")
+        return F.array_join(F.transform(path, lambda r: r[field]), "")
 
     merged_values = {"ref": joined("ref"), "alt": joined("alt"), "alt_freq": F.array_min(freqs).cast("double")}
     merged = F.struct(
@@ -118,37 +129,37 @@ def _outcomes(settle, columns: Sequence[str]) -> Column:
         F.array_join(freqs, ",").alias("merged_af"),
         F.array_join(depths, ",").alias("merged_dp"),
     )
-    nothing = F.lit(None).cast("string")
-
-    def single(row):
-        return F.struct(
-            *[row[c].alias(c) for c in own],
-            nothing.alias("merged_min_af"), nothing.alias("merged_af"), nothing.alias("merged_dp"),
-        )
-
     # A path in which no two neighbours are adjacent any more (rows between them were skipped) is lost.
     steps = F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1)))
-    adjacent = F.exists(steps, lambda i: F.get("path", i)["pos"] - F.get("path", i - 1)["pos"] <= 1)
-    merges, keep = settle()
+    adjacent = F.exists(steps, lambda i: F.get(path, i)["pos"] - F.get(path, i - 1)["pos"] <= 1)
+    merges, keep = settle(path)
     return (
-        F.when(size == 1, F.transform("path", single))
-        .when(merges, F.when(adjacent, F.array(merged)))
-        .otherwise(F.transform(F.filter("path", keep), single))
+        F.when(size == 1, F.transform(path, lambda r: _single(r, own)))
+        .when(merges, F.filter(F.array(merged), lambda _: adjacent))
+        .otherwise(F.transform(F.filter(path, keep), lambda r: _single(r, own)))
     )
 
 
 def _apply(variants: DataFrame, order: Sequence[str], width: int, settle) -> DataFrame:
+    """Three disjoint parts: rows that are no candidates, rows of runs, and rows whose REF equals their ALT.
+
+    A run's rows come out of one aggregate per (run, codon, group): rows in no group as they are, groups
+    as what their paths turn into, each result once.
+    """
     unique = first_per_site(variants, order=order)
+    own = [c for c in unique.columns if c not in (*PLACE, "ref_codon")]
+    real = F.col("ref") != F.col("alt")
     runs = adjacent_runs(candidates(unique), width)
-    groups = codon_groups(runs, order)
-    paths = allele_paths(_rows_of_groups(groups, order))
-    outcome = F.inline(_outcomes(settle, unique.columns))
-    changed = paths.select(*PLACE, "ref_codon", outcome).filter(F.col("ref") != F.col("alt")).distinct()
-    # Rows of groups are replaced. REF = ALT rows go too, in samples that have a run at all (in the
-    # others the table stays as it is).
-    same = unique.filter(F.col("ref") == F.col("alt")).select(*SITE)
-    gone = mix(groups.select(*SITE), same.join(run_sizes(runs).select("sample"), "sample", "left_semi"))
-    return mix(changed, unique.join(gone, list(SITE), "left_anti"))
+    labelled = label_groups(runs, order)
+    member = F.struct("pos", *order, *[c for c in own if c not in ("pos", *order)])
+    grouped = labelled.groupBy(*CODON, "grouped", "part").agg(F.array_sort(F.collect_list(member)).alias("rows"))
+    results = F.array_distinct(F.flatten(F.transform(allele_paths(F.col("rows")), lambda p: _outcome(p, settle, own))))
+    as_they_are = F.transform("rows", lambda r: _single(r, own))
+    settled = grouped.select(*PLACE, "ref_codon", F.inline(F.when(F.col("grouped"), results).otherwise(as_they_are))).filter(real)
+    rest = unique.filter(F.coalesce(real, F.lit(True)) & ~is_candidate(unique))
+    # REF = ALT rows stay only in samples without any run.
+    equal = unique.filter(~F.coalesce(real, F.lit(True))).join(run_sizes(runs).select("sample").distinct(), "sample", "left_anti")
+    return mix(settled, rest.union(equal))
 
 
 def merge_all_haplotypes(
@@ -159,7 +170,7 @@ def merge_all_haplotypes(
     Other haplotypes (mixes of reference and alternative bases) never survive the merge rule in the
     behaviour to match, whatever ``merge_af_threshold`` says, so they are not built.
     """
-    return _apply(variants, order, width, lambda: (F.lit(True), lambda r: F.lit(False)))
+    return _apply(variants, order, width, lambda _: (F.lit(True), lambda r: F.lit(False)))
 
 
 def merge_consensus(
@@ -175,8 +186,8 @@ def merge_consensus(
     ``keep_high=True`` keeps them.
     """
 
-    def settle():
-        high = F.forall("path", lambda r: r["alt_freq"] > consensus_af)
+    def settle(path):
+        high = F.forall(path, lambda r: r["alt_freq"] > consensus_af)
         return high, lambda r: (r["alt_freq"] <= consensus_af) | F.lit(keep_high)
 
     return _apply(variants, order, width, settle)
