@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from virotide.config import RunParams, genome_attribute
 from virotide.operators import longtable, report
 from virotide.plans import derived, workflows
-from virotide.sources import adapters, manifest, readers, sinks
+from virotide.sources import manifest, readers, sinks
 from virotide.streaming.gates import run_per_batch, sample_stream
 
 CALL_HEADER = "REGION\tPOS\tREF\tALT\tREF_DP\tREF_RV\tREF_QUAL\tALT_DP\tALT_RV\tALT_QUAL\tALT_FREQ\tTOTAL_DP\tPVAL\tPASS\tGFF_FEATURE\tREF_CODON\tREF_AA\tALT_CODON\tALT_AA\tPOS_AA"
@@ -129,12 +129,6 @@ def test_run_parameters():
         genome_attribute(genomes, "h", "fasta")
 
 
-def test_adapter(spark):
-    tool = adapters.register("echo", ["cat"], ["a", "b"], "x string, y bigint")
-    df = spark.createDataFrame([("p", 1), ("q", 2)], "a string, b bigint")
-    assert tool.available() and rows_of(tool.run(df)) == [("p", 1), ("q", 2)]
-
-
 def test_stream_upserts_samples(spark, tmp_path):
     landing, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "sample string, n bigint"

@@ -102,7 +102,7 @@ def trim_adapters(
 
     A 5' adapter counts anywhere unless it starts with ``X``, a 3' one drops all behind it; parts of
     at least ``overlap`` bases count at the open end. Error-tolerant matching stays with the external
-    tool (see adapters).
+    tool.
     """
     anchored = sorted({a[1:].upper() for a in adapters if a.upper().startswith("X")}, key=lambda a: (-len(a), a))
     free = sorted({a.upper() for a in adapters if not a.upper().startswith("X")}, key=lambda a: (-len(a), a))
