@@ -268,6 +268,13 @@ def test_apply_variants_over_chunk_borders(spark):
     assert "".join(r["seq"] for r in parts) == brute_apply(reference, changes)
 
 
+def test_skipped_deletion_replaces_nothing(spark):
+    """The second deletion starts inside the first and is skipped; what it would have covered is applied."""
+    rows = [("s", "c", 2, "ABC", "A"), ("s", "c", 4, "CDE", "C"), ("s", "c", 6, "E", "x"), ("s", "c", 9, "H", "y")]
+    out = consensus.applicable(spark.createDataFrame(rows, "sample string, contig string, pos bigint, ref string, alt string"))
+    assert sorted(r["pos"] for r in out.collect()) == [2, 6, 9]
+
+
 def test_interval_sequences(spark):
     ref = spark.createDataFrame([("c", "ACGT" * 600)], "contig string, seq string")
     rows = [("c", 0, 5, "a", "+"), ("c", 998, 1003, "b", "-")]

@@ -508,11 +508,18 @@ def interval_sequences(spark, sf_dir):
     return consensus.interval_sequences(bed, frame(spark, sf_dir, "contigs")).select("name", "seq")
 
 
+# Variants in order of position; one that starts inside what the last applied one replaces is skipped.
+APPLIED = """, hi AS (SELECT *, row_number() OVER (PARTITION BY sample, contig ORDER BY pos) AS n FROM (
+          SELECT sample, contig, pos, arg_min(ref, alt) AS ref, min(alt) AS alt FROM decoded WHERE alt_freq >= 0.75 GROUP BY ALL)),
+        walk AS (SELECT *, true AS used, pos + length(ref) - 1 AS reach FROM hi WHERE n = 1
+          UNION ALL SELECT h.*, h.pos > w.reach, CASE WHEN h.pos > w.reach THEN h.pos + length(h.ref) - 1 ELSE w.reach END
+          FROM walk w JOIN hi h ON h.sample = w.sample AND h.contig = w.contig AND h.n = w.n + 1),
+        ok AS (SELECT sample, contig, pos, ref, alt FROM walk WHERE used),"""
+
+
 @query(
     "consensus_apply_variants",
-    "WITH " + decoded_sql(False) + """, hi AS (SELECT sample, contig, pos, arg_min(ref, alt) AS ref, min(alt) AS alt FROM decoded WHERE alt_freq >= 0.75 GROUP BY ALL),
-        cov AS (SELECT DISTINCT sample, contig, pos + unnest(range(1, length(ref))) AS pos FROM hi WHERE length(ref) > 1),
-        ok AS (SELECT h.* FROM hi h WHERE NOT EXISTS (SELECT 1 FROM cov c WHERE c.sample = h.sample AND c.contig = h.contig AND c.pos = h.pos)),
+    "WITH RECURSIVE " + decoded_sql(False) + APPLIED + """
         del AS (SELECT sample, contig, pos + unnest(range(1, length(ref))) AS pos FROM ok WHERE length(ref) > 1),
         len AS (SELECT contig, max(pos) + 5 AS n FROM decoded GROUP BY contig),
         f AS (SELECT s.sample, len.contig, unnest(range(1, n + 1)) AS pos FROM (SELECT DISTINCT sample FROM hi) s CROSS JOIN len)
@@ -737,9 +744,7 @@ def codon_translation(spark, sf_dir):
 
 @query(
     "consensus_masked",
-    "WITH " + decoded_sql(False) + """, hi AS (SELECT sample, contig, pos, arg_min(ref, alt) AS ref, min(alt) AS alt FROM decoded WHERE alt_freq >= 0.75 GROUP BY ALL),
-        cov AS (SELECT DISTINCT sample, contig, pos + unnest(range(1, length(ref))) AS pos FROM hi WHERE length(ref) > 1),
-        ok AS (SELECT h.* FROM hi h WHERE NOT EXISTS (SELECT 1 FROM cov c WHERE c.sample = h.sample AND c.contig = h.contig AND c.pos = h.pos)),
+    "WITH RECURSIVE " + decoded_sql(False) + APPLIED + """
         del AS (SELECT sample, contig, pos + unnest(range(1, length(ref))) AS pos FROM ok WHERE length(ref) > 1),
         mask AS (SELECT DISTINCT sample, contig, pos FROM calls WHERE total_dp < 30),
         len AS (SELECT contig, max(pos) + 5 AS n FROM decoded GROUP BY contig),
