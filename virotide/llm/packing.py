@@ -21,11 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from virotide.llm.common import once
-
 END_TOKEN = 0
-#: Entries of each of a worker's two tables (words, stems) before it starts anew; bounds memory, not results.
-TABLE_ENTRIES = 1 << 19
+#: Entries of each of a task's two tables (words, stems) before it starts anew; bounds memory, not results.
+TABLE_ENTRIES = 1 << 18
 #: Letters that stand for themselves in any neighbourhood, then ASCII marks without the apostrophe (it joins).
 STEM_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -89,7 +87,7 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataFrame
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = None
         for batch in batches:
-            words = words or once(f"tokens {tokenizer}", lambda: WordTokens(tokenizer))
+            words = words or WordTokens(tokenizer)  # goes with the task: an idle worker holds no tables
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = words.ids(text or "")
