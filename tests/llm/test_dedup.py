@@ -92,6 +92,8 @@ def test_simhash_cases(spark):
     kept = simhash.one_of_each(docs_of(spark, texts, ["fp"]))
     assert sorted(r.doc_id for r in kept.collect()) == [3, 7, 8]
     assert kept.columns == [*DOCS.replace(" long", "").replace(" string", "").split(", "), "fp"]
+    unnamed = simhash.one_of_each(docs_of(spark, [(None, "one text"), (None, "another one"), (None, "one text"), (3, "third text here"), (3, "and yet another")]))
+    assert sorted(r.text for r in unnamed.collect()) == ["and yet another", "another one", "one text", "third text here"]
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
     assert [r.component_id for r in simhash.near_duplicates(docs_of(spark, [(None, "a")])).collect()] == [None]
 

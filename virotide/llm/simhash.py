@@ -43,16 +43,17 @@ def simhash(data: bytes, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every row."""
+    """``(doc_id, text_hash, fp)`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
+            texts = batch.column(2).cast(pa.large_binary())
             fps = pa.array([simhash(t.as_py() or b"", width) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
+        run, "doc_id long, text_hash long, fp long"
     )
 
 
@@ -80,8 +81,8 @@ def links(fps: DataFrame, most: int = 3) -> DataFrame:
     return found.select(F.col("fp").alias("u"), F.col("other").alias("v"))
 
 
-def near_duplicates(docs: DataFrame, most: int = 3, width: int = 3) -> DataFrame:
-    """``(doc_id, fp, component_id)`` of every row; the component is named by its smallest ``doc_id``.
+def _grouped(docs: DataFrame, most: int, width: int) -> DataFrame:
+    """Rows with their fingerprint's component: its smallest fingerprint ``root``, and its smallest id.
 
     Equal fingerprints are one node from the start, so copies cost one row each, whatever their number.
     """
@@ -90,19 +91,21 @@ def near_duplicates(docs: DataFrame, most: int = 3, width: int = 3) -> DataFrame
     roots = components(links(nodes.select("fp"), most))
     known = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = keep(known.join(smallest, "root").select("fp", "component_id"), "components")
-    return rows.join(named, "fp").select(
+    named = keep(known.join(smallest, "root").select("fp", "root", "component_id"), "components")
+    return rows.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, most: int = 3, width: int = 3) -> DataFrame:
+    """``(doc_id, fp, component_id)`` of every row; the component is named by its smallest ``doc_id``."""
+    return _grouped(docs, most, width).select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "fp", F.nullif("component_id", F.lit(NO_ID)).alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, most: int = 3, width: int = 3) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, one row each; all columns stay."""
-    groups = near_duplicates(docs, most, width)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("_first"), F.col("fp").alias("_fp")
-    )
-    # Rows that share the smallest id can have different texts: one of them stays.
-    first = first.groupBy("_first").agg(F.min("_fp").alias("_fp"))
-    kept = docs.withColumn("_first", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(first.select("_first"), "_first", "left_semi")
-    return kept.dropDuplicates(["_first"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each component, that with the smallest id (then the smallest hash of the text); all columns stay."""
+    first = _grouped(docs, most, width).groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
+    first = first.select(F.col("f.doc_id").alias("_id"), F.col("f.text_hash").alias("_text"))
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_text", F.xxhash64(F.col("text").cast("string")))
+    kept = keyed.join(first, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
