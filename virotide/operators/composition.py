@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from virotide.functions.numbers import ratio
+from virotide.operators.channels import first_row
 from virotide.operators.tiles import TILE, halo, running_sum
 
 # Bases that always have a row, in output order.
@@ -15,6 +16,11 @@ STANDARD_BASES = ("A", "C", "T", "G")
 DENSITY_WINDOW = 1001
 
 
+def first_record(records: DataFrame, order: Sequence[str] = ("src", "src2"), keys: Sequence[str] = ("sample",)) -> DataFrame:
+    """The first record of each sample's file: the one that the tables of composition describe."""
+    return first_row(records, order, keys)
+
+
 def base_counts(records: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
     """Count and percent of every base, A, C, T, G at 0 where absent; an absent N gives a NULL row.
 

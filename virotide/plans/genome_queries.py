@@ -407,6 +407,22 @@ def base_composition(spark, sf_dir):
     return composition.base_counts(frame(spark, sf_dir, "sequences"))
 
 
+@query(
+    "base_composition_first_record",
+    """WITH one AS (SELECT sample, arg_min(seq, length(contig) * 1000000000 + CAST(substr(contig, 2) AS BIGINT)) AS seq FROM sequences GROUP BY sample),
+         l AS (SELECT sample, unnest(string_split(seq, '')) AS base FROM one WHERE length(seq) > 0),
+         k AS (SELECT s.sample, b.base FROM (SELECT DISTINCT sample FROM l) s CROSS JOIN (VALUES ('A'), ('C'), ('T'), ('G'), ('N')) b(base))
+       SELECT k.sample, k.base, count(l.base) AS freq FROM k LEFT JOIN l ON k.sample = l.sample AND k.base = l.base
+       GROUP BY ALL HAVING k.base <> 'N' OR count(l.base) > 0""",
+    inputs=("sequences",),
+)
+def base_composition_first_record(spark, sf_dir):
+    """Of several records of a sample the first one counts."""
+    rows = frame(spark, sf_dir, "sequences").withColumns({"src": F.length("contig"), "src2": F.expr("cast(substring(contig, 2) as bigint)")})
+    counts = composition.base_counts(composition.first_record(rows))
+    return counts.filter(F.col("base").isNotNull()).select("sample", "base", "freq")
+
+
 @query(
     "letter_runs",
     """WITH l AS (SELECT contig, unnest(string_split(seq, '')) AS base, unnest(range(1, length(seq) + 1)) AS i FROM sequences),
