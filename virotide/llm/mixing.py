@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from virotide.llm.common import keep
+
 #: A larger mean is split into equal parts, each drawn on its own: sums of Poisson variables are Poisson.
 LARGEST_MEAN = 8.0
 #: Terms of the distribution of a mean of 8 or less; the rest has a probability below 1e-30.
@@ -70,7 +72,9 @@ def replicate(docs: DataFrame, targets: dict[str, float] | None = None, epochs:
     own = [c for c in docs.columns if c not in ("n_copies", "copy", "place")]
     table = _with_distribution(rates(docs, targets, epochs, exponent)).select(F.struct("source").alias("_of"), F.struct("draws", "sums").alias("_p"))
     # The rates of a source are copied to a few salts, so that a source with a third of all rows is spread.
-    table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Written first, their size is known when the join is planned: few sources are broadcast (Spark checks the
+    # size), and the texts move only once, for the shuffle; many are joined by source and salt.
+    table = keep(table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "rates")
     rows = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("_of", F.struct("source")).withColumn("_salt", F.pmod(F.hash("doc_id"), F.lit(SALTS)))
     rows = rows.join(table, ["_of", "_salt"])
 
