@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -95,27 +96,30 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     up = narrow.join(known, [*key, "parent"], "left").select(
         *key, "id", F.when(F.col("known"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("steps"), "score"
     )
-    jumps, reach = [], 1
-    most = narrow.count()
-    while True:
-        up = keep(up, "jumps")
-        jumps.append(up.select(*key, "id", "up"))
-        if reach > most or not up.where("up is not null").limit(1).count():
-            break
-        above = up.select(*key, F.col("id").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("score").alias("score2"))
-        up = up.join(above, [*key, "up"], "left").select(
-            *key, "id", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score")
+    # A node that has reached its root is done; only the others take part in the next round.
+    up = keep(up, "jumps")
+    opened, done, jumps, reach, most = up.where("up is not null"), [up.where("up is null")], [], 1, narrow.count()
+    while reach <= most and opened.limit(1).count():
+        jumps.append(opened.select(*key, "id", "up"))
+        state = reduce(DataFrame.union, done, opened)
+        above = state.select(*key, F.col("id").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("score").alias("score2"))
+        moved = opened.join(above, [*key, "up"]).select(
+            *key, "id", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"), (F.col("score") + F.col("score2")).alias("score")
         )
+        moved = keep(moved, "jumps")
+        opened = moved.where("up is not null")
+        done.append(moved.where("up is null"))
         reach *= 2
+    up = reduce(DataFrame.union, done)
     parents = narrow.where("parent is not null").select(*key, F.col("parent").alias("id")).distinct()
-    leaves = up.where("up is null").join(parents, [*key, "id"], "left_anti")
+    leaves = up.join(parents, [*key, "id"], "left_anti")
     best = Window.partitionBy(*key).orderBy((F.col("score") / F.col("steps")).desc(), "id")
     leaves = leaves.withColumn("rank", F.row_number().over(best)) if branches is not None else leaves.withColumn("rank", F.lit(None).cast("int"))
     if branches is not None:
         leaves = leaves.where(F.col("rank") <= branches)
     on_path = leaves.select(*key, F.col("id").alias("leaf_id"), "rank", "id", F.col("steps").alias("depth"))
-    for k in reversed(range(len(jumps) - 1)):
-        higher = on_path.join(jumps[k].where("up is not null"), [*key, "id"]).select(*key, "leaf_id", "rank", F.col("up").alias("id"), (F.col("depth") - (1 << k)).alias("depth"))
+    for k in reversed(range(len(jumps))):
+        higher = on_path.join(jumps[k], [*key, "id"]).select(*key, "leaf_id", "rank", F.col("up").alias("id"), (F.col("depth") - (1 << k)).alias("depth"))
         on_path = keep(on_path.union(higher), "paths")
     out = on_path.join(nodes.select(*key, "id", "role", "text"), [*key, "id"])
     return out.select(F.when(~F.col("no_tree"), F.col("tree")).alias("tree_id"), "leaf_id", "rank", "depth", "role", "text")
