@@ -5,6 +5,9 @@ average, so boundaries depend on the lines around them and not on where they sta
 more that occur elsewhere are compared byte for byte, and all but the first occurrence (smallest document,
 then place) are removed.
 
+``remove_runs`` does not depend on where chunks end: each two neighbouring lines are compared, so every run of
+two lines or more that stands at an earlier place is removed whole. ``remove_repeats`` is the chunk rule of ``op9``.
+
 Defined cases: a null text stays null and an empty one empty; a text all of whose chunks are removed becomes
 empty, its row stays; rows without an id come after all others; rows equal in id and text count as one
 document; an empty table stays empty; other columns are kept.
@@ -77,6 +80,46 @@ def remove_repeats(docs: DataFrame, every: int = EVERY) -> DataFrame:
     return rows.withColumn("_kept", text).select(*[F.col("_kept").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
+def line_pairs(docs: DataFrame) -> DataFrame:
+    """``(_id, _text, n, hash, check)`` of each two neighbouring lines: the number of the first (from 1), XXH64 and MD5."""
+    rows = _keyed(docs.select("doc_id", "text")).where("text is not null").withColumn("_lines", F.split(F.col("text").cast("string"), "\n", -1))
+    count = F.size("_lines") - 1
+    both = F.zip_with(
+        F.slice("_lines", 1, count), F.slice("_lines", 2, count), lambda a, b: F.struct(F.xxhash64(a, b).alias("hash"), F.unhex(F.md5(F.concat_ws("\n", a, b))).alias("check"))
+    )
+    return rows.select("_id", "_text", F.posexplode(both).alias("at", "p")).select("_id", "_text", (F.col("at") + 1).alias("n"), "p.hash", "p.check")
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """``(_id, _text, _gone)``: the numbers of the lines in runs of two or more that stand at an earlier place.
+
+    Short hashes are counted first; the long ones are kept for those that occur twice alone. A pair that overlaps
+    its own first occurrence loses only its second line: a run of equal lines keeps its first two.
+    """
+    found = line_pairs(docs)
+    often = keep(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "hashes")
+    candidates = keep(found.join(often, "hash").select("_id", "_text", "n", "check"), "candidates")
+    first = F.min(F.struct("_id", "_text", "n")).alias("first")
+    firsts = keep(candidates.groupBy("check").agg(first, F.count("*").alias("times")).where("times > 1").drop("times"), "firsts")
+    later = candidates.join(firsts, "check").where(F.struct("_id", "_text", "n") > F.col("first"))
+    overlaps = (F.col("_id") == F.col("first._id")) & (F.col("_text") == F.col("first._text")) & (F.col("n") == F.col("first.n") + 1)
+    lines = later.select("_id", "_text", F.explode(F.when(overlaps, F.array(F.col("n") + 1)).otherwise(F.array("n", F.col("n") + 1))).alias("line"))
+    return lines.groupBy("_id", "_text").agg(F.collect_set("line").alias("_gone"))
+
+
+def remove_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with each run of two or more repeated lines cut from ``text``, all but its first place; all columns and rows stay."""
+    gone = keep(repeated_lines(docs), "repeats")
+    rows = _keyed(docs).join(gone, ["_id", "_text"], "left")
+    lines = F.split(F.col("text").cast("string"), "\n", -1)
+    # array_except is a hash set, and the lines are a lambda's variable, split once: no square in a text's lines.
+    left = F.array_except(F.sequence(F.lit(1), F.size(lines)), F.col("_gone"))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+        F.transform(F.array(lines), lambda own: F.array_join(F.transform(left, lambda n: F.element_at(own, n)), "\n"))[0]
+    )
+    return rows.withColumn("_kept", text).select(*[F.col("_kept").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+
+
 ORACLE = f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS n FROM documents),
