@@ -33,6 +33,13 @@ def test_shared_passage_goes_whole(spark, n):
     assert got[1::2] == [f"own {k} b\nend {k} b" for k in range(12)]
 
 
+def test_equal_lines_are_a_run(spark):
+    run = "\n".join(["same"] * 58)
+    texts = [run, "start\n" + run + "\nend", "a\n" + "\n".join(["twice"] * 3)]
+    got = [r.text for r in linededup.remove_runs(spark.createDataFrame([(i, t, "en", "s", None) for i, t in enumerate(texts)], DOCS)).orderBy("doc_id").collect()]
+    assert got == ["same\nsame", "start\nend", "a\ntwice\ntwice"]
+
+
 def test_random_lines_against_brute_force(spark):
     rng = random.Random(5)
     texts = ["\n".join(f"l{rng.choice([0, 0, 1, 2, rng.randrange(200)])}" for _ in range(rng.randrange(1, 40))) for _ in range(80)]
