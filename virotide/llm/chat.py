@@ -10,7 +10,8 @@ goes before every backslash and before ``<turn>`` and ``</turn>``; a line break
 
 Defined cases: null roles and texts are empty; messages whose parent is missing are roots; repeated ids in a
 tree are folded into the smallest (role, text); an empty table gives no conversations; columns other than the
-six named ones are ignored. A message on a cycle has no root and is left out.
+six named ones are ignored. A message on a cycle has no root and is left out. A message without a ``msg_id`` cannot be
+placed in its tree and is left out.
 """
 
 from __future__ import annotations
