@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from virotide.llm import chat, ctph, langid, linededup, mixing, packing, perplexity, simhash, suffixes, warc
+from virotide.llm import alignment, chat, ctph, langid, linededup, mixing, packing, perplexity, phrases, sharding, simhash, suffixes, warc
 from virotide.plans.registry import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
 TOKENIZER_FILE = "word_bpe_49k.json"
+ALIGNED_FILES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -92,3 +93,21 @@ def op9_linededup(spark, sf_dir):
 def op10_perplexity(spark, sf_dir):
     out = perplexity.judge(table(spark, sf_dir, "documents"))
     return out.select("doc_id", *perplexity.BASE, "base_failed", "kept", "log_ppl", "low", "high")
+
+
+@query("op11_phrases", phrases.ORACLE)
+def op11_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents")).drop("first")
+
+
+@query("op12_alignment")
+def op12_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ALIGNED_FILES]
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+@query("op13_sharding")
+def op13_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"))
