@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -83,31 +84,31 @@ class Sides:
         self.said += [f"{i},".encode() for i in range(len(names))] + [f"{i};".encode() for i in range(len(names))]
         self.words: dict[str, tuple[bytes, bytes] | None] = {}
 
-    def _word(self, word: str) -> tuple[bytes, bytes] | None:
+    def _learn(self, words: list[str]) -> None:
         """Ids of both sides as 32-bit integers; None if the pieces do not spell the word."""
-        spaced = " " + word
-        a = self.fast.encode_ordinary(spaced) if len(word) <= LONG_WORD else self.slow.encode(spaced, add_special_tokens=False).ids
-        b = self.piece.encode(word)
-        whole = spaced.encode()
-        same = b"".join([self.bytes_b[i] for i in b]) == whole and int(self.length_a[a].sum()) == len(whole)
-        out = (np.array(a, dtype="<u4").tobytes(), np.array(b, dtype="<u4").tobytes()) if same else None
-        if len(word) <= LONG_WORD:
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            self.words[word] = out
-        return out
+        spell, fast = self.bytes_b.__getitem__, self.fast.encode_ordinary
+        for word, b in zip(words, self.piece.encode(words, num_threads=1), strict=True):
+            spaced = " " + word
+            if b"".join(map(spell, b)) != spaced.encode():
+                self.words[word] = None
+                continue
+            a = fast(spaced) if len(word) <= LONG_WORD else self.slow.encode(spaced, add_special_tokens=False).ids
+            self.words[word] = array("I", a).tobytes(), array("I", b).tobytes()
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         if not text:
             return None
-        known, a, b = self.words, [], []
-        for word in CUT.split(text) if UNSAFE.search(text) else text.split(" "):
-            got = known.get(word) or self._word(word)
-            if got is None:
-                return None
-            a.append(got[0])
-            b.append(got[1])
-        return np.frombuffer(b"".join(a), "<u4"), np.frombuffer(b"".join(b), "<u4")
+        words = CUT.split(text) if UNSAFE.search(text) else text.split(" ")
+        missing = set(words).difference(self.words)
+        if missing:
+            if len(self.words) + len(missing) > WORDS:
+                self.words.clear()
+                missing = set(words)
+            self._learn(list(missing))
+        found = list(map(self.words.__getitem__, words))
+        if None in found:
+            return None
+        return np.frombuffer(b"".join([a for a, _ in found]), "<u4"), np.frombuffer(b"".join([b for _, b in found]), "<u4")
 
 
 @dataclass
@@ -134,16 +135,17 @@ class Span:
 NOTHING = Span(*(np.empty(0, dtype=t) for t in ("<u4", "<i8", "<u4", "<i8")))
 
 
-def spell(sides: Sides, span: Span, common: np.ndarray) -> list[bytes]:
-    """The digest's words, in order, of closed groups; ``common`` holds their ends."""
-    group_a, group_b = np.searchsorted(common, span.a_end, "left"), np.searchsorted(common, span.b_end, "left")
-    last_a = np.concatenate([group_a[1:] != group_a[:-1], [True]])
-    last_b = np.concatenate([group_b[1:] != group_b[:-1], [True]])
-    before_b = np.searchsorted(group_b, group_a, "left")  # tokens of b in earlier groups
-    before_a = np.searchsorted(group_a, group_b, "right")  # tokens of a up to this group
+def spell(sides: Sides, span: Span, groups: tuple[np.ndarray, np.ndarray], upto: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
+    """The digest's words, in order, of closed groups.
+
+    ``groups`` number the group of each token, ``upto`` tell how many tokens of a side end within a group or before.
+    """
+    (group_a, group_b), (upto_a, upto_b) = groups, upto
+    last_a, last_b = (np.concatenate([g[1:] != g[:-1], [True]]) for g in groups)
     ids = np.empty(len(span.a) + len(span.b), dtype=np.int64)
-    ids[np.arange(len(span.a)) + before_b] = span.a + last_a * len(sides.length_a)
-    ids[np.arange(len(span.b)) + before_a] = span.b + last_b * len(sides.length_b) + 2 * len(sides.length_a)
+    # A token of a stands behind those of b in earlier groups, one of b behind those of a up to its own.
+    ids[np.arange(len(span.a)) + np.concatenate([[0], upto_b])[group_a]] = span.a + last_a * len(sides.length_a)
+    ids[np.arange(len(span.b)) + upto_a[group_b]] = span.b + last_b * len(sides.length_b) + 2 * len(sides.length_a)
     said = sides.said
     return [said[i] for i in ids.tolist()]
 
@@ -169,7 +171,9 @@ class Fragment:
     def close(self, sides: Sides, span: Span) -> None:
         common = np.intersect1d(span.a_end, span.b_end, assume_unique=True)
         self.groups += len(common)
-        self.said.append(b"".join(spell(sides, span, common)))
+        groups = np.searchsorted(common, span.a_end), np.searchsorted(common, span.b_end)
+        upto = np.searchsorted(span.a_end, common, "right"), np.searchsorted(span.b_end, common, "right")
+        self.said.append(b"".join(spell(sides, span, groups, upto)))
         self.links.append(pairs(span)[0])
 
 
@@ -238,8 +242,10 @@ def _together(sides: Sides, docs: list) -> Iterator[tuple[int, str, np.ndarray]]
     common, every = np.flatnonzero(of_a & of_b), np.flatnonzero(of_a | of_b)
     upto_a, upto_b = np.cumsum(of_a, dtype=np.int32), np.cumsum(of_b, dtype=np.int32)
     links = (span.a[upto_a[every] - of_a[every]].astype(np.int64) << 32) | span.b[upto_b[every] - of_b[every]]
-    said = spell(sides, span, common)
-    link_stops, group_stops = np.searchsorted(every, ends, "right"), np.searchsorted(common, ends, "right")
+    upto_common = np.cumsum(of_a & of_b, dtype=np.int32)
+    groups = tuple(upto_common[e] - (of_a & of_b)[e] for e in (span.a_end, span.b_end))
+    said = spell(sides, span, groups, (upto_a[common], upto_b[common]))
+    link_stops, group_stops = np.searchsorted(every, ends, "right"), upto_common[ends]
     tokens = np.cumsum([len(a) + len(b) for a, b in docs])
     link_at = group_at = token_at = 0
     for link_stop, group_stop, token_stop in zip(link_stops.tolist(), group_stops.tolist(), tokens.tolist(), strict=True):
