@@ -231,15 +231,11 @@ def region_depth(
 # --- pileup ----------------------------------------------------------------------------------------
 
 
-def aligned_bases(reads: DataFrame) -> DataFrame:
-    """One row per aligned base or deletion: (pos, base, quality, reverse). Narrow.
-
-    Insertions hang on the base before them as ``+XYZ``, deletions as ``-`` plus the number of bases
-    on the base before and ``*`` on each deleted position.
-    """
+def placed_ops() -> Column:
+    """CIGAR operations as an array of (op, at, read, len): first reference position and first read place (1-based)."""
     ops = cigar_ops(F.col("cigar"))
     refs = "MDN=X"
-    walk = F.aggregate(
+    return F.aggregate(
         ops,
         F.struct(
             F.col("pos").cast("bigint").alias("at"),
@@ -260,8 +256,16 @@ def aligned_bases(reads: DataFrame) -> DataFrame:
         ),
         lambda acc: acc["done"],
     )
+
+
+def aligned_bases(reads: DataFrame) -> DataFrame:
+    """One row per aligned base or deletion: (pos, base, quality, reverse). Narrow.
+
+    Insertions hang on the base before them as ``+XYZ``, deletions as ``-`` plus the number of bases
+    on the base before and ``*`` on each deleted position.
+    """
     pieces = reads.filter(lacks(UNMAPPED, SECONDARY, QC_FAIL, DUPLICATE)).select(
-        "sample", "contig", "seq", "qual", has(REVERSE).alias("reverse"), F.inline(walk)
+        "sample", "contig", "seq", "qual", has(REVERSE).alias("reverse"), F.inline(placed_ops())
     )
     size = F.when(F.col("op").isin("M", "=", "X", "D"), F.col("len")).otherwise(1)
     shown = pieces.filter(F.col("op").isin("M", "=", "X", "D", "I"))
