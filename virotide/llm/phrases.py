@@ -75,8 +75,9 @@ class Slice:
         sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
         self.first_word = np.searchsorted(raw_starts, np.cumsum(sizes) - sizes)
         self.seed = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
-        powers = _powers(len(self.bytes) + 1)
-        self.top = powers[::-1]
+        powers = _powers(BASE, len(self.bytes) + 1)
+        # Multiplied with these, a difference of prefix values does not depend on where the words stand.
+        self.back = _powers(pow(BASE, -1, 1 << 64), len(self.bytes) + 1)
         self.prefix = np.zeros(len(self.bytes) + 1, dtype=np.uint64)
         np.cumsum(self.bytes * powers[: len(self.bytes)], out=self.prefix[1:])
 
@@ -85,7 +86,7 @@ class Slice:
         count = max(0, min(self.own, len(self.starts) - n + 1))
         first = np.flatnonzero(self.piece[:count] == self.piece[n - 1 : n - 1 + count])
         start, stop = self.starts[first], self.stops[first + n - 1]
-        fp = (self.prefix[stop] - self.prefix[start]) * self.top[start]
+        fp = (self.prefix[stop] - self.prefix[start]) * self.back[start]
         fp ^= self.seed
         for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
             fp ^= fp >> np.uint64(shift)
@@ -98,17 +99,16 @@ class Slice:
         return [self.ids[d] for d in doc.tolist()], words - self.first_word[doc] + self.words_before
 
 
-_power_table = np.ones(1, dtype=np.uint64)
+_power_tables: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int) -> np.ndarray:
-    """Powers of the base modulo 2 ** 64; a view with as many entries as asked for."""
-    global _power_table
-    if len(_power_table) < n:
-        out = np.full(max(n, 1 << 16), BASE, dtype=np.uint64)
+def _powers(base: int, n: int) -> np.ndarray:
+    """Powers of a base modulo 2 ** 64; a view with as many entries as asked for."""
+    if len(_power_tables.get(base, ())) < n:
+        out = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         out[0] = 1
-        _power_table = np.multiply.accumulate(out)
-    return _power_table[:n]
+        _power_tables[base] = np.multiply.accumulate(out)
+    return _power_tables[base][:n]
 
 
 def _slices(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[Slice]:
