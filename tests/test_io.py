@@ -175,11 +175,15 @@ def test_short_read_plan(spark):
         "primers": derived.frame(spark, sf, "primers").withColumn("src2", F.lit(0)), "hits": derived.frame(spark, sf, "hits"),
     }
     params = RunParams.of({"platform": "illumina", "protocol": "amplicon", "min_mapped_reads": 500})
-    out = workflows.short_read_plan(tables, params)
+    out = workflows.short_read_plan(tables, params, min_read_length=10)
     passed = {r["sample"] for r in out["mapped_gate"].filter("gate = 'pass'").collect()}
     assert {r["sample"] for r in out["variant_counts"].collect()} == passed
     assert {"amplicons", "primer_trimmed", "coverage_windows", "assembly_hits"} <= set(out)
     assert out["coverage_windows"].count() > 0
+    # What was clipped no longer counts as depth.
+    untrimmed = workflows.short_read_plan(tables, params.with_options(skip_ivar_trim=True))
+    depth = [o["coverage_windows"].agg(F.sum("coverage")).first()[0] for o in (out, untrimmed)]
+    assert 0 < depth[0] < depth[1]
     without = workflows.short_read_plan(tables, params.with_options(skip_variants=True, skip_mosdepth=True))
     assert "variants" not in without and "coverage_windows" not in without
 

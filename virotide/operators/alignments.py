@@ -397,17 +397,15 @@ def trim_primers(
     reads: DataFrame,
     primers: DataFrame,
     min_length: int = 30,
-    min_quality: int = 20,
     keep_without_primer: bool = True,
     offset: int = 0,
-    window: int = 4,
     key: Sequence[str] = ("sample", "qname", "flag"),
 ) -> DataFrame:
-    """Soft-clip primers: reference span kept after the primer that holds a read's 5' end.
+    """Reference span that is left after the primer that holds a read's 5' end, as a report.
 
     A forward read is clipped up to the primer's end, a reverse read from the primer's start; of
     several primers the one that clips most counts. ``trim_start``/``trim_end`` are the 1-based span
-    left; reads shorter than ``min_length`` go. Quality trimming is `trim_quality`.
+    left; reads shorter than ``min_length`` go. `primers.clip_alignments` rewrites the alignments and trims by quality.
     """
     ends = drop_unmapped(reads).withColumns(
         {"ref_end": reference_end(), "reverse": has(REVERSE)}

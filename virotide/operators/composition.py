@@ -158,9 +158,12 @@ def assembly_stats(contigs: DataFrame, keys: Sequence[str] = ("sample",), width:
     sums = running_sum(weighted, keys, "length", {"sum_bases": "bases", "sum_n": "n"}, width, descending=True)
     half = sums.join(basics.select(*keys, "total_length"), list(keys))
     reached = half.filter(F.col("sum_bases") * 2 >= F.col("total_length"))
-    n50 = reached.groupBy(*keys).agg(F.max("length").alias("n50"))
+    top = reached.groupBy(*keys).agg(F.max(F.struct("length", "sum_bases", "sum_n", "total_length")).alias("_top"))
+    # Of the contigs of that length, those beyond half of all bases are not needed.
+    spare = F.floor((2 * F.col("_top.sum_bases") - F.col("_top.total_length")) / (2 * F.col("_top.length")))
+    n50 = top.select(*keys, F.col("_top.length").alias("n50"), (F.col("_top.sum_n") - spare).cast("bigint").alias("l50"))
     return basics.join(n50, list(keys)).select(
-        *keys, "contigs", "contigs_1000", "contigs_5000", "largest_contig", "total_length", "n50",
+        *keys, "contigs", "contigs_1000", "contigs_5000", "largest_contig", "total_length", "n50", "l50",
         ratio(F.lit(100) * F.col("_gc"), F.col("_acgt")).alias("gc_percent"),
         ratio(F.lit(100000) * F.col("_n"), F.col("total_length")).alias("ns_per_100kb"),
     )

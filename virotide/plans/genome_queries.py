@@ -469,12 +469,14 @@ def contig_sizes(spark, sf_dir):
     "assembly_stats",
     """WITH l AS (SELECT *, length(seq) AS len FROM sequences), o AS (SELECT sample, len, sum(len) OVER (PARTITION BY sample ORDER BY len DESC) AS run,
            sum(len) OVER (PARTITION BY sample) AS total FROM l),
-         h AS (SELECT sample, max(len) FILTER (run * 2 >= total) AS n50 FROM o GROUP BY sample)
+         h AS (SELECT sample, max(len) FILTER (run * 2 >= total) AS n50 FROM o GROUP BY sample),
+         i AS (SELECT sample, min(rn) AS l50 FROM (SELECT sample, sum(len) OVER w AS run, sum(len) OVER (PARTITION BY sample) AS total,
+           row_number() OVER w AS rn FROM l WINDOW w AS (PARTITION BY sample ORDER BY len DESC ROWS UNBOUNDED PRECEDING)) WHERE run * 2 >= total GROUP BY sample)
        SELECT l.sample, count(*) AS contigs, count(*) FILTER (len >= 1000) AS contigs_1000, count(*) FILTER (len >= 5000) AS contigs_5000,
-         max(len) AS largest_contig, CAST(sum(len) AS BIGINT) AS total_length, any_value(n50) AS n50,
+         max(len) AS largest_contig, CAST(sum(len) AS BIGINT) AS total_length, any_value(n50) AS n50, any_value(l50) AS l50,
          100 * sum(len - length(regexp_replace(seq, '[GC]', '', 'g'))) / sum(len - length(regexp_replace(seq, '[ACGT]', '', 'g'))) AS gc_percent,
          100000 * sum(len - length(replace(seq, 'N', ''))) / sum(len) AS ns_per_100kb
-       FROM l JOIN h USING (sample) GROUP BY l.sample""",
+       FROM l JOIN h USING (sample) JOIN i USING (sample) GROUP BY l.sample""",
     inputs=("sequences",),
 )
 def assembly_stats(spark, sf_dir):
