@@ -175,15 +175,33 @@ def test_short_read_plan(spark):
         "primers": derived.frame(spark, sf, "primers").withColumn("src2", F.lit(0)), "hits": derived.frame(spark, sf, "hits"),
     }
     params = RunParams.of({"platform": "illumina", "protocol": "amplicon", "min_mapped_reads": 500})
-    out = workflows.short_read_plan(tables, params)
+    out = workflows.short_read_plan(tables, params, min_read_length=10)
     passed = {r["sample"] for r in out["mapped_gate"].filter("gate = 'pass'").collect()}
     assert {r["sample"] for r in out["variant_counts"].collect()} == passed
     assert {"amplicons", "primer_trimmed", "coverage_windows", "assembly_hits"} <= set(out)
-    assert out["coverage_windows"].count() > 0
+    # What was clipped no longer counts as depth.
+    untrimmed = workflows.short_read_plan(tables, params.with_options(skip_ivar_trim=True, skip_variants=True))
+    depth = [o["coverage_windows"].agg(F.sum("coverage")).first()[0] for o in (out, untrimmed)]
+    assert 0 < depth[0] < depth[1]
     without = workflows.short_read_plan(tables, params.with_options(skip_variants=True, skip_mosdepth=True))
     assert "variants" not in without and "coverage_windows" not in without
 
 
+def test_consensus_by_caller(spark):
+    columns = "sample string, contig string, pos bigint, flag int, cigar string, seq string, qual string"
+    rows = [("a", "c", 1, 0, "6M", "ACGTAC", "IIIIII")] * 3 + [("a", "c", 1, 0, "6M", "ACTTAC", "IIIIII")] * 27
+    aligned, reference = spark.createDataFrame(rows, columns), spark.createDataFrame([("c", "ACGTACGT")], "contig string, seq string")
+    params = RunParams.of({"platform": "illumina", "protocol": "metagenomic", "variant_caller": "bcftools"})
+    called = workflows.likelihood_calls(aligned, reference)
+    assert rows_of(called.select("pos", "ref", "alt", "ad", "dp")) == [(3, "G", "T", "3,27", 30)]
+    out = workflows.consensus_by_caller(aligned, called, reference, params)
+    assert [r["seq"] for r in out["consensus"].collect()] == ["ACTTACNN"]
+    bases = workflows.consensus_by_caller(aligned, None, None, params.with_options(consensus_caller="ivar"))["consensus_bases"]
+    assert "".join(r["base"] for r in bases.orderBy("pos").collect()) == "ACTTAC"
+    for option in ("skip_consensus", "skip_variants"):
+        assert workflows.consensus_by_caller(aligned, called, reference, params.with_options(**{option: True})) == {}
+
+
 def test_long_read_plan(spark):
     folders = spark.createDataFrame([("b1", "/d/b1", 150), ("b2", "/d/b2", 50), ("b3", "/d/b3", 300)], "barcode string, dir string, count bigint")
     sheet = spark.createDataFrame([("b1", "one"), ("b2", "two"), ("b9", "nine")], "barcode string, sample string")
