@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from virotide.llm.common import keep
 
-#: Bytes of text that are hashed together.
-SLICE = 1 << 23
+#: Bytes of text that are hashed together; a task holds some 50 times as much.
+SLICE = 1 << 22
 #: Bytes of packed fingerprints that one range should hold.
 RANGE_BYTES = 3 << 20
 #: Size of the table of frequent fingerprints, in bits: the only thing broadcast, 16 MB whatever the input.
