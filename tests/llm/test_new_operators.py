@@ -84,6 +84,17 @@ def test_first_occurrence(spark):
     assert (row["phrase"], row["first"]["doc_id"], row["first"]["word"]) == ("red fox", 2, 2)
 
 
+def test_slices_of_a_task_are_summed_before_they_are_sent(spark, monkeypatch):
+    """Small slices, held and sent early alike: the same counts and the same first places, null ids first."""
+    monkeypatch.setattr(phrases, "SLICE", 64)
+    rows = [(None if i == 7 else 90 - i, lang, text) for i, (lang, text) in enumerate([*TEXTS, *TEXTS, *TEXTS])]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1)
+    whole = sorted((tuple(r) for r in phrases.collocations(frame, least=2).collect()), key=str)
+    monkeypatch.setattr(phrases, "HELD", 5)
+    assert sorted((tuple(r) for r in phrases.collocations(frame, least=2).collect()), key=str) == whole
+    assert [r[:8] for r in whole] == sorted(brute_phrases([r[1:] for r in rows], 2, 2000), key=str)
+
+
 # --- alignment ----------------------------------------------------------------------------------------
 
 

@@ -7,8 +7,9 @@ difference of two prefix values. Three passes, each exact about what it keeps:
    and fingerprints that reach the least count go into a bit table of fixed size. Counts of one slice stop at 255,
    which is above any threshold that matters only if ``least`` is at most 255; larger thresholds use wider counts.
 2. The texts are read again. Of occurrences whose fingerprint is in the table each slice compares the bytes with
-   the first occurrence, so that phrases of equal fingerprint part, and sends each phrase once, with its count and a
-   pointer to its first occurrence. Aggregated by text, these counts are exact; only frequent phrases get this far.
+   the first occurrence, so that phrases of equal fingerprint part. The slices of a task are summed by text, and it
+   sends each phrase once, with its count and a pointer to its first occurrence (more often only if the phrases at
+   hand outgrow ``HELD``). Aggregated by text, these counts are exact; only frequent phrases get this far.
 3. Phrases are cut after each word, the parts' counts are joined, and the lowest score of a phrase counts.
 
 Defined cases: a null or empty text has no words; a null language is ``und``; repeated rows count each; a text of any
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +37,8 @@ SLICE = 1 << 22
 RANGE_BYTES = 3 << 20
 #: Size of the table of frequent fingerprints, in bits: the only thing broadcast, 16 MB whatever the input.
 TABLE_BITS = 1 << 27
+#: Phrases that a task sums before it sends them; some 100 bytes each.
+HELD = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 UNKNOWN = "und"
 BLANK, BREAK = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -43,12 +47,12 @@ KIND = np.array([1 if c in BLANK else 2 if c in BREAK else 0 for c in range(256)
 GAP = re.compile(rb"[ \t.,;:!?\n-\r]")
 
 
-def _windows(data: bytes, ahead: int) -> Iterator[tuple[bytes, int]]:
+def _windows(data: bytes, ahead: int, size: int) -> Iterator[tuple[bytes, int]]:
     """Parts of a text with the number of bytes in which their own n-grams start; ``ahead`` words follow these."""
     following = re.compile(rb"(?:[ \t.,;:!?\n-\r]+[^ \t.,;:!?\n-\r]+){0,%d}" % ahead)
     at = 0
     while at < len(data):
-        gap = GAP.search(data, at + SLICE) if at + SLICE < len(data) else None
+        gap = GAP.search(data, at + size) if at + size < len(data) else None
         stop = gap.start() if gap else len(data)
         yield data[at : following.match(data, stop).end()], stop - at
         at = stop
@@ -111,8 +115,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _power_tables[base][:n]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[Slice]:
-    """Slices of the rows ``(lang, doc_id, text)`` of one task, by language."""
+def _slices(batches: Iterator[pa.RecordBatch], ahead: int, size: int) -> Iterator[Slice]:
+    """Slices of some ``size`` bytes of the rows ``(lang, doc_id, text)`` of one task, by language."""
     waiting: dict[str, tuple[list[bytes], list]] = defaultdict(lambda: ([], []))
     held = 0
     for batch in batches:
@@ -121,14 +125,14 @@ def _slices(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[Slice]:
             data = text.as_py()
             if not data:
                 continue
-            if len(data) > SLICE:
+            if len(data) > size:
                 words = 0
-                for part, own in _windows(data, ahead):
+                for part, own in _windows(data, ahead, size):
                     out = Slice(lang, [part], [doc_id], own, words)
                     words += out.own
                     yield out
                 continue
-            if held + len(data) > SLICE:
+            if held + len(data) > size:
                 for k, (texts, names) in waiting.items():
                     yield Slice(k, texts, names)
                 waiting.clear()
@@ -157,10 +161,10 @@ def _range_bits(docs: DataFrame, most_words: int) -> int:
 def frequent_fingerprints(docs: DataFrame, least: int, most_words: int) -> DataFrame:
     """``(fp)``: 48-bit fingerprints of n-grams that may occur ``least`` times; none that do is missing."""
     bits, wide = _range_bits(docs, most_words), np.dtype("u1" if least <= 255 else "<u4")
-    limit = np.iinfo(wide).max
+    limit, size = np.iinfo(wide).max, SLICE
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches, most_words - 1):
+        for part in _slices(batches, most_words - 1, size):
             fps, counts = np.unique(np.concatenate([part.grams(n)[1] for n in range(1, most_words + 1)]) >> np.uint64(16), return_counts=True)
             counts = np.minimum(counts, limit).astype(wide)
             ranges = fps >> np.uint64(48 - bits)
@@ -250,6 +254,16 @@ def _told_apart(part: Slice, first: np.ndarray, fps: np.ndarray, n: int) -> Iter
         first, fps = at[~same], fps[order][~same]
 
 
+def _summed(told: pa.Table) -> pa.Table:
+    """One row per phrase: the sum of ``a``, and the pointer that comes first (no document before all others)."""
+    order = pc.sort_indices(told, sort_keys=[("doc_id", "ascending"), ("word", "ascending")], null_placement="at_start")
+    first = pc.ScalarAggregateOptions(skip_nulls=False)
+    groups = told.take(order).group_by(["lang", "phrase", "words"], use_threads=False)
+    out = groups.aggregate([("a", "sum"), ("doc_id", "first", first), ("word", "first", first)])
+    out = out.select(["lang", "phrase", "words", "a_sum", "doc_id_first", "word_first"])
+    return out.rename_columns(["lang", "phrase", "words", "a", "doc_id", "word"]).combine_chunks()
+
+
 def phrase_counts(docs: DataFrame, least: int = 100, most_words: int = 5) -> DataFrame:
     """``(lang, phrase, words, a, first)`` of all phrases of 1 to ``most_words`` words with ``a >= least``.
 
@@ -258,9 +272,12 @@ def phrase_counts(docs: DataFrame, least: int = 100, most_words: int = 5) -> Dat
     """
     table = docs.sparkSession.sparkContext.broadcast(_table(frequent_fingerprints(docs, least, most_words)))
 
+    size = SLICE
+
     def materialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
-        for part in _slices(batches, most_words - 1):
+        held = None
+        for part in _slices(batches, most_words - 1, size):
             phrases, words, counts, docs_at, places = [b""], [0], [part.own], [None], [None]
             raw = part.bytes.tobytes()
             for n in range(1, most_words + 1):
@@ -276,7 +293,14 @@ def phrase_counts(docs: DataFrame, least: int = 100, most_words: int = 5) -> Dat
                     places += place.tolist()
             columns = [pa.array([part.lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(words, pa.int32())]
             columns += [pa.array(x, pa.int64()) for x in (counts, docs_at, places)]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "a", "doc_id", "word"])
+            del phrases, words, counts, docs_at, places, part, raw
+            told = pa.Table.from_arrays(columns, ["lang", "phrase", "words", "a", "doc_id", "word"])
+            held = told if held is None else _summed(pa.concat_tables([held, told]))
+            if held.num_rows > HELD:
+                yield from held.to_batches(1 << 14)
+                held = None
+        if held is not None:
+            yield from held.to_batches(1 << 14)
 
     told = _rows(docs).mapInArrow(materialise, "lang string, phrase string, words int, a long, doc_id long, word long")
     whole = told.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a"), F.min(F.struct("doc_id", "word")).alias("first"))
