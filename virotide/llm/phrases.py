@@ -97,10 +97,10 @@ class Slice:
             fp *= np.uint64(factor)
         return first, fp ^ (fp >> np.uint64(32))
 
-    def pointer(self, words: np.ndarray) -> tuple[list, np.ndarray]:
+    def pointer(self, words: np.ndarray) -> tuple[pa.Array, pa.Array]:
         """Document and place (in words) of words given by number."""
         doc = np.searchsorted(self.first_word, words, side="right") - 1
-        return [self.ids[d] for d in doc.tolist()], words - self.first_word[doc] + self.words_before
+        return pa.array(self.ids, pa.int64()).take(pa.array(doc)), pa.array(words - self.first_word[doc] + self.words_before)
 
 
 _power_tables: dict[int, np.ndarray] = {}
@@ -254,6 +254,25 @@ def _told_apart(part: Slice, first: np.ndarray, fps: np.ndarray, n: int) -> Iter
         first, fps = at[~same], fps[order][~same]
 
 
+def _columns(part: Slice, heads: np.ndarray, counts: np.ndarray, n: int) -> pa.Table:
+    """Phrases of ``n`` words by their first words, as columns; for ``n`` 0 the row with the number of all words."""
+    if n:
+        start = part.starts[heads]
+        size = part.stops[heads + n - 1] - start
+        ends = np.cumsum(size)
+        # The bytes of all phrases in a row, gathered by place.
+        place = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat((start - ends + size).astype(np.int32), size)
+        offsets = np.concatenate(([0], ends)).astype(np.int32)
+        said = pa.StringArray.from_buffers(len(heads), pa.py_buffer(offsets), pa.py_buffer(part.bytes[place]))
+        doc, word = part.pointer(heads)
+    else:
+        said, counts = pa.array([""]), np.array([part.own])
+        doc, word = pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())
+    rows = len(said)
+    columns = [pa.repeat(part.lang, rows), said, pa.repeat(pa.scalar(n, pa.int32()), rows), pa.array(counts, pa.int64()), doc, word]
+    return pa.Table.from_arrays(columns, ["lang", "phrase", "words", "a", "doc_id", "word"])
+
+
 def _summed(told: pa.Table) -> pa.Table:
     """One row per phrase: the sum of ``a``, and the pointer that comes first (no document before all others)."""
     order = pc.sort_indices(told, sort_keys=[("doc_id", "ascending"), ("word", "ascending")], null_placement="at_start")
@@ -278,24 +297,18 @@ def phrase_counts(docs: DataFrame, least: int = 100, most_words: int = 5) -> Dat
         bits = table.value
         held = None
         for part in _slices(batches, most_words - 1, size):
-            phrases, words, counts, docs_at, places = [b""], [0], [part.own], [None], [None]
-            raw = part.bytes.tobytes()
+            told = [_columns(part, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 0)]
             for n in range(1, most_words + 1):
                 first, fps = part.grams(n)
                 bit = (fps >> np.uint64(16)) & np.uint64(TABLE_BITS - 1)
                 hit = (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                for heads, number in _told_apart(part, first[hit], fps[hit], n):
-                    phrases += [raw[s:e] for s, e in zip(part.starts[heads].tolist(), part.stops[heads + n - 1].tolist(), strict=True)]
-                    words += [n] * len(heads)
-                    counts += number.tolist()
-                    doc, place = part.pointer(heads)
-                    docs_at += doc
-                    places += place.tolist()
-            columns = [pa.array([part.lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(words, pa.int32())]
-            columns += [pa.array(x, pa.int64()) for x in (counts, docs_at, places)]
-            del phrases, words, counts, docs_at, places, part, raw
-            told = pa.Table.from_arrays(columns, ["lang", "phrase", "words", "a", "doc_id", "word"])
+                told += [_columns(part, heads, number, n) for heads, number in _told_apart(part, first[hit], fps[hit], n)]
+                del first, fps, bit, hit
+            del part
+            told = pa.concat_tables(told)
             held = told if held is None else _summed(pa.concat_tables([held, told]))
+            del told
+            pa.default_memory_pool().release_unused()
             if held.num_rows > HELD:
                 yield from held.to_batches(1 << 14)
                 held = None
