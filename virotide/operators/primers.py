@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from virotide.operators.alignments import drop_unmapped, has, placed_ops, reference_end
 from virotide.operators.intervals import point_in_interval
-from virotide.operators.reads import let
+from virotide.operators.reads import let, settled
 
 # Letters that each ambiguity code stands for.
 AMBIGUITY = {
@@ -200,15 +200,17 @@ def clip_alignments(
     # An insertion that a cut touches goes as a whole.
     past = lambda at: F.coalesce(F.array_max(F.transform("_ops", lambda p: F.when((p["op"] == "I") & (p["read"] <= at) & (at < p["read"] + p["len"]), p["read"] + p["len"]))), at)
     before = lambda at: F.coalesce(F.array_min(F.transform("_ops", lambda p: F.when((p["op"] == "I") & (p["read"] <= at) & (at < p["read"] + p["len"]), p["read"] - 1))), at)
-    spans = clipped.withColumn("_ops", ops).withColumns({"_a": a.cast("int"), "_b": b.cast("int")})
-    spans = spans.withColumns({"_a": past(F.col("_a")), "_b": before(F.col("_b"))})
-    spans = spans.withColumn("_low", _first_low(F.col("_a"), F.col("_b"), F.col("_reverse"), window, min_quality).cast("int"))
+    # Each step is a generator: otherwise the filters below would repeat all earlier steps many times over.
+    spans = settled(settled(clipped, _ops=ops), _a=a.cast("int"), _b=b.cast("int"))
+    spans = settled(spans, _a=past(F.col("_a")), _b=before(F.col("_b")))
+    spans = settled(spans, _low=_first_low(F.col("_a"), F.col("_b"), F.col("_reverse"), window, min_quality).cast("int"))
     cut = F.col("_low") > 0
-    spans = spans.withColumns({
-        "_a": F.when(cut & F.col("_reverse"), F.col("_b") - F.col("_low") + 2).otherwise(F.col("_a")),
-        "_b": F.when(cut & ~F.col("_reverse"), F.col("_a") + F.col("_low") - 2).otherwise(F.col("_b")),
-    })
-    spans = spans.withColumns({"_a": past(F.col("_a")), "_b": before(F.col("_b"))}).filter(F.col("_b") - F.col("_a") + 1 >= min_length)
+    spans = settled(
+        spans,
+        _a=F.when(cut & F.col("_reverse"), F.col("_b") - F.col("_low") + 2).otherwise(F.col("_a")),
+        _b=F.when(cut & ~F.col("_reverse"), F.col("_a") + F.col("_low") - 2).otherwise(F.col("_b")),
+    )
+    spans = settled(spans, _a=past(F.col("_a")), _b=before(F.col("_b"))).filter(F.col("_b") - F.col("_a") + 1 >= min_length)
 
     low, high = lambda p: F.greatest(p["read"], F.col("_a")), lambda p: F.least(p["read"] + p["len"] - 1, F.col("_b"))
     inside = lambda p: (p["read"] > F.col("_a")) & (p["read"] <= F.col("_b"))
@@ -230,7 +232,5 @@ def clip_alignments(
         piece(size - F.col("_b"), "S"), F.coalesce(hard(ends[1]), F.lit("")),
     )
     begun = F.array_min(F.transform(F.filter("_kept", matched), lambda p: p["at"]))
-    out = spans.withColumn("_kept", kept).withColumns(
-        {"pos": begun.cast("bigint"), "cigar": text, "has_primer": F.col("_from").isNotNull()}
-    )
+    out = settled(settled(spans, _kept=kept), pos=begun.cast("bigint"), cigar=text, has_primer=F.col("_from").isNotNull())
     return out.select(*reads.columns, "has_primer")

@@ -22,6 +22,12 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns`` added or replaced, each evaluated once per row: nothing is moved or copied through a generator."""
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))
+
+
 def _window_mean_cut(values: Column, window: int, mean: int) -> Column:
     """Number of leading values to drop: start of the first window whose sum reaches the mean."""
     size = F.size(values)
