@@ -79,7 +79,15 @@ def test_low_segments_near_indels(spark):
 def test_clipping_is_worked_out_once(spark):
     """The length test must not be moved below the steps that it repeats."""
     bed = spark.createDataFrame([("c", 975, 990, "+")], "contig string, start bigint, end bigint, strand string")
-    clipped = primers.clip_alignments(some_reads(spark), bed, min_length=10)
+    clipped = primers.clip_alignments(some_reads(spark).withColumn("qual", F.repeat(F.lit("I"), F.lit(20))), bed, min_length=10)
     text = clipped._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("regexp_extract_all") <= 8
     assert clipped.filter(F.col("has_primer")).count() > 0
+
+
+def test_windows_of_a_null_sample(spark):
+    """A null name meets no segment, as in the table's SQL."""
+    segments = spark.createDataFrame([("s", "c", 0, 40, 2), (None, "c", 10, 20, 5)], "sample string, contig string, start bigint, end bigint, depth bigint")
+    contigs = spark.createDataFrame([("c", 60)], "contig string, length bigint")
+    got = rows_of(alignments.window_depth(segments, contigs, step=30).select("sample", "start", "coverage"))
+    assert got == sorted([("s", 0, 2.0), ("s", 30, 20 / 30), (None, 0, 0.0), (None, 30, 0.0)], key=str)
