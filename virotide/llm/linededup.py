@@ -110,7 +110,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def remove_runs(docs: DataFrame) -> DataFrame:
     """``docs`` with each run of two or more repeated lines cut from ``text``, all but its first place; all columns and rows stay."""
     gone = keep(repeated_lines(docs), "repeats")
-    rows = _keyed(docs).join(gone, ["_id", "_text"], "left")
+    # One plan whatever the size: small lists would be sent to all, large ones not.
+    rows = _keyed(docs).join(gone.hint("shuffle_merge"), ["_id", "_text"], "left")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
     # array_except is a hash set, and the lines are a lambda's variable, split once: no square in a text's lines.
     left = F.array_except(F.sequence(F.lit(1), F.size(lines)), F.col("_gone"))
