@@ -1,6 +1,7 @@
 """Fixtures and brute-force checks of intervals, long table, gates, reports, sequences and reads."""
 
 import random
+from collections import Counter
 
 import pytest
 from conftest import rows_of
@@ -237,6 +238,24 @@ def test_density_brute_force(spark):
     assert len(got) == 300
 
 
+def test_density_counts_where_sequences_lie(spark):
+    rng = random.Random(2)
+    rows = [(name, "".join(rng.choice("ACGTN") for _ in range(n))) for name, n in (("a", 95), (None, 64), ("k", 11), ("b", 10), ("empty", 0))]
+    rows += [("twice", "ACGT" * 9)] * 2 + [("gone", None)]
+    df = spark.createDataFrame(rows, "sample string, seq string")
+    got = composition.base_density(df, k=11, width=16)
+    assert Counter(r.sample for r in got.collect()) == {"a": 95, None: 64, "k": 11, "b": 10, "twice": 72}
+    for name, seq in rows[:3]:
+        for r in got.filter(F.col("sample").eqNullSafe(name)).collect():
+            first = min(max(r.position - 6, 0), len(seq) - 11)
+            assert [r.a_mean, r.g_mean] == [seq[first : first + 11].count(b) / 11 for b in "AG"]
+    assert {r.a_mean for r in got.filter("sample = 'b'").collect()} == {None}
+    # Only rows of keys that occur twice go through a window.
+    assert len(got.filter("sample = 'twice'").select("position").distinct().collect()) == 36
+    single = composition._density_in_place(df.filter("sample = 'a'"), ["sample"], "ACTG", 11, 16)
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+
+
 def test_n50(spark):
     df = spark.createDataFrame([("s", "A" * n) for n in (2, 3, 4, 5, 6, 10)], "sample string, seq string")
     row = composition.assembly_stats(df, width=4).first()

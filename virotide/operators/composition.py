@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from virotide.functions.numbers import ratio
 from virotide.operators.channels import first_row
-from virotide.operators.tiles import TILE, halo, running_sum
+from virotide.operators.tiles import TILE, attach, halo, running_sum
+
+# Executors get the functions below with the task, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bases that always have a row, in output order.
 STANDARD_BASES = ("A", "C", "T", "G")
@@ -93,10 +100,49 @@ def base_density(
 ) -> DataFrame:
     """Running mean of each letter over ``k`` positions; the first and last k//2 rows are constant.
 
-    The rows run per tile with a margin of k//2 rows copied from the neighbours, so one long sequence
-    is spread over tasks. The two constant ends are counted on the sequence text before it is split.
+    The record of a key that occurs once is counted where it lies, ``width`` positions at a time, so no base is moved.
     A sequence shorter than ``k`` has no full window and gives NULL.
     """
+    records = records.filter(F.length("seq") > 0)
+    repeated = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    marked = attach(records.select(*keys, "seq"), repeated, keys)
+    single = _density_in_place(marked.filter(F.col("_n").isNull()).drop("_n"), keys, bases, k, width)
+    return single.unionByName(_density_of_repeated(marked.filter(F.col("_n").isNotNull()).drop("_n"), keys, bases, k, width))
+
+
+def _density_in_place(records: DataFrame, keys: Sequence[str], bases: Sequence[str], k: int, width: int) -> DataFrame:
+    """The means of whole sequences: sums of a window are differences of one running count per letter."""
+    half, codes = (k - 1) // 2, [ord(b) for b in bases]
+    names = [*keys, "position", *[f"{b.lower()}_mean" for b in bases]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                letters = np.frombuffer(batch.column(len(keys))[row].as_py().encode("utf-32-le"), np.uint32)
+                size, own = len(letters), [batch.column(i).slice(row, 1) for i in range(len(keys))]
+                for start in range(0, size, width):
+                    count = min(width, size - start)
+                    means = [pa.nulls(count, pa.float64())] * len(bases)
+                    if size >= k:
+                        # First letter of each position's window, and the stretch that holds them all.
+                        first = np.clip(np.arange(start, start + count) - half, 0, size - k)
+                        part = letters[first[0] : first[-1] + k]
+                        at = first - first[0]
+                        running = [np.concatenate(([0], np.cumsum(part == c))) for c in codes]
+                        means = [pa.array((r[at + k] - r[at]) / k) for r in running]
+                    spread = [pa.concat_arrays([c]).take(pa.array(np.zeros(count, np.int64))) for c in own]
+                    yield pa.RecordBatch.from_arrays([*spread, pa.array(np.arange(start + 1, start + count + 1)), *means], names)
+
+    schema = ", ".join([*[f"`{c}` {records.schema[c].dataType.simpleString()}" for c in keys], "position bigint", *[f"{n} double" for n in names[len(keys) + 1 :]]])
+    return records.select(*keys, F.col("seq").cast("string")).mapInArrow(run, schema)
+
+
+def _density_of_repeated(records: DataFrame, keys: Sequence[str], bases: Sequence[str], k: int, width: int) -> DataFrame:
+    """The means of keys with several records, whose rows run as one by position.
+
+    The rows run per tile with a margin of k//2 rows copied from the neighbours, so one key is spread over
+    tasks. The two constant ends are counted on the sequence text before it is split.
+    """
     half = (k - 1) // 2
 
     def count_in(text, base):
