@@ -1,5 +1,7 @@
 """Mates and amplicons on cases worked out by hand."""
 
+import random
+
 import pytest
 from virotide.operators import amplicons, mates
 
@@ -52,6 +54,31 @@ def test_errors_allowed(spark):
     assert merged(spark) == []
 
 
+def test_long_mates_against_every_place(spark):
+    """Repetitive and random mates against all places; nothing is cut into a row or an array per letter."""
+    rng, rows = random.Random(3), []
+    for n in range(120):
+        letters = "ACGT" if n % 3 else "AC"
+        body = "".join(rng.choice(letters) for _ in range(rng.randrange(0, 300)))
+        other = "".join(c if rng.random() > 0.02 else rng.choice("ACGTNé") for c in body[rng.randrange(0, 40) :] + body[: rng.randrange(0, 30)])
+        rows.append((str(n), body, "".join(rng.choice("I#5") for _ in body), turned(other), "".join(rng.choice("I#5") for _ in other)))
+    frame = spark.createDataFrame(rows, PAIRS)
+    got = {r.read_id: r for r in mates.merge_mates(frame).collect()}
+    for name, one, _, two, _ in rows:
+        back, want = turned(two), None
+        for d in [*range(len(one)), *range(-1, -len(back), -1)]:
+            a, b = one[max(d, 0) :], back[max(-d, 0) :]
+            size = min(len(a), len(b))
+            wrong = sum(x != y for x, y in zip(a, b))
+            if size >= 30 and wrong <= min(5, size // 5):
+                want = (d, size, wrong)
+                break
+        assert (got[name].offset, got[name].overlap, got[name].errors) == (want or (None, None, None))
+        assert len(got[name].seq1) == len(got[name].qual1) and len(got[name].seq2) == len(got[name].qual2)
+    plan = mates.merge_mates(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan and "split(" not in plan
+
+
 SAM = "sample string, qname string, flag int, contig string, pos bigint, cigar string, seq string, qual string, name string"
 
 
