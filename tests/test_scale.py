@@ -91,3 +91,21 @@ def test_windows_of_a_null_sample(spark):
     contigs = spark.createDataFrame([("c", 60)], "contig string, length bigint")
     got = rows_of(alignments.window_depth(segments, contigs, step=30).select("sample", "start", "coverage"))
     assert got == sorted([("s", 0, 2.0), ("s", 30, 20 / 30), (None, 0, 0.0), (None, 30, 0.0)], key=str)
+
+
+def test_zero_depth_is_counted_without_gap_rows(spark):
+    """Disjoint segments, an uncovered contig, a null sample: the same sums as of segments with gaps filled."""
+    rows = [("a", "c", 3, 9, 2), ("a", "c", 9, 20, 5), ("a", "d", 0, 50000, 1), ("b", "d", 10, 11, 3), (None, "c", 0, 40, 7)]
+    segments = spark.createDataFrame(rows, "sample string, contig string, start bigint, end bigint, depth bigint")
+    contigs = spark.createDataFrame([("c", 40), ("d", 70000), ("e", 5)], "contig string, length bigint")
+    got = alignments.filled_depth(segments, contigs)
+    assert got.columns == ["sample", "contig", "positions", "below_3", "bases"]
+    depths = {}
+    for sample, contig, start, end, depth in rows:
+        depths.setdefault((sample, contig), []).append((end - start, depth))
+    want = []
+    for sample in ("a", "b", None):
+        for contig, length in (("c", 40), ("d", 70000), ("e", 5)):
+            own = depths.get((sample, contig), [])
+            want.append((sample, contig, length, length - sum(n for n, d in own if d >= 3), sum(n * d for n, d in own)))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
