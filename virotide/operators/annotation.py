@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from virotide.functions.sequence import reverse_complement, translate_codon
 from virotide.operators.intervals import point_in_interval
+from virotide.operators.reads import settled
 from virotide.operators.variants import info_field
 
 # Order of the sub-fields of one annotation entry.
@@ -21,25 +22,29 @@ EXTRACTED = (
 SPLIT_FIELDS = {"cdna": ("cdna_pos", "cdna_len"), "cds": ("cds_pos", "cds_len"), "aa": ("aa_pos", "aa_len")}
 
 
-def _sub_field(entry: Column, name: str) -> Column:
+def _sub_field(parts: Column, name: str) -> Column:
     for whole, (pos, length) in SPLIT_FIELDS.items():
         if name in (pos, length):
-            return F.get(F.split(_sub_field(entry, whole), "/"), F.lit(0 if name == pos else 1))
-    return F.get(F.split(entry, r"\|"), F.lit(ANN_FIELDS.index(name)))
+            return F.get(F.split(_sub_field(parts, whole), "/"), F.lit(0 if name == pos else 1))
+    return F.get(parts, F.lit(ANN_FIELDS.index(name)))
 
 
 def extract_fields(vcf: DataFrame, fields: tuple[str, ...] = EXTRACTED, empty: str = ".") -> DataFrame:
-    """Annotation entries of the ANN info field as parallel comma lists, ``.`` where empty. Narrow."""
-    entries = F.split(info_field("ANN"), ",")
+    """Annotation entries of the ANN info field as parallel comma lists, ``.`` where empty. Narrow.
+
+    The info field is searched and its entries are split once per row, whatever the number of fields.
+    """
+    keys = ("sample", "contig", "pos", "ref", "alt")
+    entries = F.transform(F.split(info_field("ANN"), ","), lambda e: F.split(e, r"\|"))
+    split = settled(vcf.select(*keys, "info"), _entries=entries)
 
     def listed(name):
-        def value(e):
-            found = F.coalesce(_sub_field(e, name), F.lit(""))
-            return F.when(found == "", F.lit(empty)).otherwise(found)
+        def value(parts):
+            return F.coalesce(F.nullif(_sub_field(parts, name), F.lit("")), F.lit(empty))
 
-        return F.coalesce(F.array_join(F.transform(entries, value), ","), F.lit(empty)).alias(name)
+        return F.coalesce(F.array_join(F.transform("_entries", value), ","), F.lit(empty)).alias(name)
 
-    return vcf.select("sample", "contig", "pos", "ref", "alt", *[listed(f) for f in fields])
+    return split.select(*keys, *[listed(f) for f in fields])
 
 
 def coding_effects(variants: DataFrame, cds: DataFrame, codons: DataFrame) -> DataFrame:
