@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from virotide.operators import alignments, channels, intervals, report, variants
+from virotide.operators import alignments, channels, intervals, longtable, report, variants
 from virotide.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -61,3 +61,18 @@ def test_only_the_hot_key_list_is_broadcast_by_hint(spark):
     left = spark.range(10).withColumnRenamed("id", "k")
     logical = channels.salted_match(left, left.selectExpr("k", "k AS v"), ["k"])._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in logical.lower()
+
+
+def test_joined_long_table_stays_where_it_is(spark):
+    """The table of samples is sent to all even if adaptive plans may not choose to: calls and effects move for their join alone."""
+    calls = spark.createDataFrame([("s", "c", 1, "A", "T", "PASS", "9", "3", "6")], "sample string, contig string, pos int, ref string, alt string, filter string, dp string, ref_dp string, alt_dp string")
+    effects = spark.createDataFrame([("s", "c", 1, "A", "T", "S", "stop", "c.1", "p.1")], "sample string, contig string, pos int, ref string, alt string, gene string, effect string, hgvs_c string, hgvs_p string")
+    lineages = spark.createDataFrame([("s", "B.1", 1)], "sample string, lineage string, src int")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = longtable.long_table(calls, effects, "ivar", lineages)
+        assert "BroadcastHashJoin [file_sample" in table._jdf.queryExecution().executedPlan().toString()
+        assert [r.lineage for r in table.collect()] == ["B.1"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -126,8 +126,9 @@ def long_table(
     calls = caller_rows(query.drop(*order), caller).withColumn("file_sample", F.col("sample"))
     rows = effect_rows(effects.select(*SITE, *EFFECT_LISTS), repeat_neighbours).withColumnRenamed("sample", "file_sample")
     joined = match_all(calls, rows, ["file_sample", "contig", "pos", "ref", "alt"])
-    # One small table of samples says which have calls, and their lineages.
+    # One small table of samples says which have calls, and their lineages: sent to all, so that the joined rows stay where
+    # they are.
     known = query.select(F.col("sample").alias("file_sample")).distinct()
     if lineages is not None:
         known = known.join(lineage_of(lineages, order).withColumnRenamed("sample", "file_sample"), "file_sample", "left")
-    return joined.join(known, "file_sample").withColumn("caller", F.lit(caller))
+    return joined.join(F.broadcast(known), "file_sample").withColumn("caller", F.lit(caller))
