@@ -94,3 +94,18 @@ def test_depth_is_even_and_repeats(spark):
     names = lambda df: sorted(r.qname for r in df.collect())
     assert names(kept) == names(amplicons.normalise_depth(reads.repartition(7), spans, depth=20, slots=3))
     assert names(kept) != names(amplicons.normalise_depth(reads, spans, depth=20, seed="1"))
+
+
+def test_depth_takes_one_window(spark):
+    """A group is cut down in each task before it moves; parts of groups are needed only where Spark does not do that."""
+    spans = spark.createDataFrame([("c", 0, 40, "long")], "contig string, start int, end int, name string")
+    reads = spark.createDataFrame([("a", f"r{n}", 0, "c", 10, "10M", "A" * 10, "I" * 10, None) for n in range(3000)], SAM)
+    windows = lambda depth: amplicons.normalise_depth(reads, spans, depth=depth)._jdf.queryExecution().optimizedPlan().toString().count("Window [")
+    assert (windows(20), windows(2000)) == (1, 2)
+    few = sorted(r.qname for r in amplicons.normalise_depth(reads, spans, depth=900).collect())
+    limit = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        assert len(few) == 900 and few == sorted(r.qname for r in amplicons.normalise_depth(reads, spans, depth=900).collect())
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)

@@ -23,24 +23,28 @@ def assign_amplicons(reads: DataFrame, amplicons: DataFrame) -> DataFrame:
     hits = point_in_interval(spans, sides, ["contig"], "pos", "a_first", "a_last").filter("_last <= a_last")
     order = F.struct((F.col("a_last") - F.col("a_first")).alias("size"), "a_first", "a_name")
     held = hits.groupBy("contig", "pos", "_last").agg(F.min(order).getField("a_name").alias("amplicon"))
-    return mapped.join(held, ["contig", "pos", "_last"], "left").select(*reads.columns, "amplicon")
+    # Spans are distinct and few against reads, which need not be sorted to meet them.
+    return mapped.join(held.hint("shuffle_hash"), ["contig", "pos", "_last"], "left").select(*reads.columns, "amplicon")
 
 
 def normalise_depth(reads: DataFrame, amplicons: DataFrame, depth: int = 500, slots: int = 64, seed: str = "0") -> DataFrame:
     """At most ``depth`` reads of each sample, amplicon and strand; reads that no amplicon holds go.
 
     Which reads stay is told by a hash of ``seed``, name, flag, place and CIGAR, so neither partitions nor the order of
-    rows matter. Each group is first cut down in ``slots`` parts, so that no task sees more than ``slots * depth`` rows of
-    a group, however large that is.
+    rows matter. Each task sends at most ``depth`` rows of a group on (Spark's limit of window groups). For a ``depth`` too
+    large for that, a group is first cut down in ``slots`` parts, so that no task sees more than ``slots * depth`` rows of it.
     """
     placed = assign_amplicons(reads, amplicons).filter(F.col("amplicon").isNotNull())
     mark = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in ("qname", "flag", "pos", "cigar")]))
-    marked = placed.withColumns({"_reverse": has(16), "_mark": mark})
-    marked = marked.withColumn("_slot", F.pmod(F.xxhash64("_mark"), F.lit(slots)))
+    # As bytes: their order is that of the digits, in half the room.
+    marked = placed.withColumns({"_reverse": has(16), "_mark": F.unhex(mark)})
     group, order = ["sample", "amplicon", "_reverse"], ["_mark", "seq", "qual"]
 
     def first(df: DataFrame, keys: list[str]) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn("_place", place).filter(F.col("_place") <= depth)
 
-    return first(first(marked, [*group, "_slot"]), group).select(*reads.columns, "amplicon")
+    if depth > int(reads.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        slotted = marked.withColumn("_slot", F.pmod(F.xxhash64("_mark"), F.lit(slots)))
+        marked = first(slotted, [*group, "_slot"]).drop("_slot", "_place")
+    return first(marked, group).select(*reads.columns, "amplicon")
