@@ -74,3 +74,15 @@ def test_genotypes(spark):
     assert (row.pos, row.ref, row.alt, row.ref_dp, row.alt_dp) == (2, "T", "C", 0, 3)
     assert row.pl_ref == (3 * hit + miss - 4 * miss + 50000) // 100000
     assert genotypes.call_haploid(alleles, reference, min_depth=5).count() == 0
+
+
+def test_reads_are_trimmed_where_they_lie(spark):
+    """A long read with many seeds: no row per place, no shuffle, equal reads and nulls included."""
+    adapter = "GATTACAGATTACCA"
+    rows = [("a", "C" * 3000 + adapter + "T" * 40), ("a", "C" * 3000 + adapter + "T" * 40), ("b", adapter[:7] + "G" + adapter[8:] + "C" * 35),
+            ("c", ("GATTA" + "C" * 5) * 200), ("d", None), ("e", "é" * 50)]
+    reads = spark.createDataFrame([(i, s, s) for i, s in rows], "read_id string, seq string, qual string")
+    out = primers.trim_tolerant(reads, [adapter])
+    assert sorted((r.read_id, r.seq) for r in out.collect()) == [("a", "T" * 40), ("a", "T" * 40), ("b", "C" * 35), ("c", rows[3][1]), ("e", "é" * 50)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan

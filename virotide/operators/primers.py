@@ -1,14 +1,17 @@
 """Primer removal: error-tolerant from read ends, and from alignments by rewriting their CIGAR.
 
-Both work on narrow columns. Adapters meet each distinct read end once, by an equi-join on short exact pieces; edit
-distances are the built-in ``levenshtein``. Alignments are rewritten row by row from their CIGAR operations.
+Adapters are looked for read by read, at the places of short exact pieces; edit distances are the built-in ``levenshtein``. Alignments are rewritten row by row from their CIGAR operations.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable, Sequence
+import re
+import sys
+from collections.abc import Callable, Iterable, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,9 @@ from virotide.operators.alignments import drop_unmapped, has, placed_ops, refere
 from virotide.operators.intervals import point_in_interval
 from virotide.operators.reads import let, settled
 
+# Executors get the functions below with the task, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Letters that each ambiguity code stands for.
 AMBIGUITY = {
     "A": "A", "C": "C", "G": "G", "T": "T", "U": "T", "R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC",
@@ -61,40 +67,60 @@ def _seeds(adapters: Sequence[str], three_prime: bool, overlap: int, per_mille:
     return sorted(out)
 
 
-def adapter_cuts(
-    texts: DataFrame, adapters: Sequence[str], three_prime: bool = False, overlap: int = 5, error_rate: float = 0.1
+def _seed_hits(rows: list[tuple]) -> Callable[[str], list[tuple]]:
+    """A function that lists ``(part, internal, errors, start)`` of the parts whose seeds occur in a text where they may."""
+    reach = max(len(r[0]) + r[2] for r in rows) + len(rows[0][4])
+    parts: dict[str, list[tuple]] = {}
+    for part, internal, errors, at, seed in rows:
+        parts.setdefault(seed, []).append((part, internal, errors, at))
+    listed = lambda seeds: re.compile(f"(?=({'|'.join(sorted(seeds))}))") if seeds else None
+    near, far = listed({r[4] for r in rows}), listed({r[4] for r in rows if r[1]})
+
+    def hits(text: str) -> list[tuple]:
+        # Parts that must stand at the start may be off by their errors, so the rest of a text is searched for the others alone.
+        found = set()
+        for pattern, stretch in ((near, text[:reach]), (far, text)):
+            for place in pattern.finditer(stretch) if pattern else ():
+                for part, internal, errors, at in parts[place.group(1)]:
+                    start = place.start() - at
+                    if start >= -errors if internal else abs(start) <= errors:
+                        found.add((part, internal, errors, max(start, 0) if internal else 0))
+        return sorted(found)
+
+    return hits
+
+
+def with_cut(
+    reads: DataFrame, text: str, adapters: Sequence[str], three_prime: bool = False, overlap: int = 5, error_rate: float = 0.1
 ) -> DataFrame:
-    """``(text, cut)`` of the ``texts`` that an adapter was found in: how many letters go from the start.
+    """``reads`` with ``cut``: how many letters of the column ``text`` go from its start (null if no adapter was found).
 
     Of all parts found the one with the most letters less twice its errors counts, then the fewest errors, then the
-    longest cut. ``text`` holds distinct reads (reversed for 3' adapters).
+    longest cut. ``text`` is reversed for 3' adapters. Seeds say where to look; nothing is moved or copied per place.
     """
-    per_mille = round(error_rate * 1000)
-    rows = _seeds(adapters, three_prime, overlap, per_mille)
-    index = texts.sparkSession.createDataFrame(rows, "part string, internal boolean, errors int, at int, seed string")
-    size = len(rows[0][4])
-    reach = max(len(r[0]) + r[2] for r in rows)
-    anywhere = any(r[1] for r in rows)
-    last = F.length("text") if anywhere else F.least(F.length("text"), F.lit(reach))
-    grams = texts.filter(last >= size).select("text", F.posexplode(F.transform(F.sequence(F.lit(1), last - size + 1), lambda i: F.substr("text", i, F.lit(size)))).alias("pos", "seed"))
-    # Where the part would start; parts that must stand at the start may be off by their errors.
-    start = F.col("pos") - F.col("at")
-    hits = grams.join(index, "seed").filter(F.col("internal") & (start >= -F.col("errors")) | (F.abs(start) <= F.col("errors")))
-    found = hits.select("text", "part", "internal", "errors", F.when(F.col("internal"), F.greatest(start, F.lit(0))).otherwise(0).alias("start")).distinct()
-    size_of = F.length("part")
-    lengths = F.sequence(F.greatest(size_of - F.col("errors"), F.lit(1)), size_of + F.col("errors"))
-    starts = F.when(F.col("internal"), F.sequence(F.greatest(F.col("start") - F.col("errors"), F.lit(0)), F.col("start") + F.col("errors"))).otherwise(
-        F.array(F.lit(0))
-    )
+    rows = _seeds(adapters, three_prime, overlap, round(error_rate * 1000))
+    names = ("part", "internal", "errors", "start")
+    kind = pa.list_(pa.struct([("part", pa.string()), ("internal", pa.bool_()), ("errors", pa.int32()), ("start", pa.int32())]))
+
+    def run(texts: pa.Array) -> pa.Array:
+        hits = _seed_hits(rows)
+        return pa.array([t if t is None else [dict(zip(names, h, strict=True)) for h in hits(t)] for t in texts.to_pylist()], kind)
+
+    found = F.arrow_udf(run, "array<struct<part: string, internal: boolean, errors: int, start: int>>")
+
+    def judged(hit: Column, s: Column, n: Column) -> Column:
+        wrong = F.call_function("levenshtein", hit["part"], F.substr(F.col(text), s + 1, n), hit["errors"])
+        fits = (wrong >= 0) & (s + n <= F.length(text))
+        return F.when(fits, F.struct((F.length(hit["part"]) - 2 * wrong).alias("score"), (-wrong).alias("right"), (s + n).alias("cut")))
 
-    def judged(s: Column, n: Column) -> Column:
-        wrong = F.call_function("levenshtein", F.col("part"), F.substr(F.col("text"), s + 1, n), F.col("errors"))
-        fits = (wrong >= 0) & (s + n <= F.length("text"))
-        return F.when(fits, F.struct((size_of - 2 * wrong).alias("score"), (-wrong).alias("right"), (s + n).alias("cut")))
+    def best(hit: Column) -> Column:
+        size, errors, start = F.length(hit["part"]), hit["errors"], hit["start"]
+        lengths = F.sequence(F.greatest(size - errors, F.lit(1)), size + errors)
+        starts = F.when(hit["internal"], F.sequence(F.greatest(start - errors, F.lit(0)), start + errors)).otherwise(F.array(F.lit(0)))
+        return F.array_max(F.flatten(F.transform(starts, lambda s: F.transform(lengths, lambda n: judged(hit, s, n)))))
 
-    best = F.array_max(F.flatten(F.transform(starts, lambda s: F.transform(lengths, lambda n: judged(s, n)))))
-    scored = found.select("text", best.alias("best")).filter(F.col("best").isNotNull())
-    return scored.groupBy("text").agg(F.max("best").alias("best")).select("text", F.col("best.cut").alias("cut"))
+    searched = reads.withColumn("_hits", found(text))
+    return settled(searched, cut=F.array_max(F.transform("_hits", best))["cut"]).drop("_hits")
 
 
 def trim_tolerant(
@@ -116,15 +142,13 @@ def trim_tolerant(
     if not adapters:
         return reads.filter(F.length("seq") >= min_length)
     longest = max(len(a) for a in adapters)
-    # Where no adapter can stand inside, reads with an equal start are one row for the search.
+    # Where no adapter can stand inside, the start of a read is all that is searched.
     ended = all(a.upper().startswith("X") for a in adapters)
     key = F.substr(F.upper(turned), F.lit(1), F.lit(longest + _errors(longest, round(error_rate * 1000)))) if ended else F.upper(turned)
-    keyed = reads.withColumn("_text", key)
-    cuts = adapter_cuts(keyed.select(F.col("_text").alias("text")).distinct(), adapters, three_prime, overlap, error_rate)
+    found = with_cut(settled(reads, _text=key), "_text", adapters, three_prime, overlap, error_rate).drop("_text")
     cut = F.coalesce("cut", F.lit(0))
-    joined = keyed.join(cuts.withColumnRenamed("text", "_text"), "_text", "left").drop("_text")
     first, left = (F.lit(1), F.length("seq") - cut) if three_prime else (cut + 1, F.length("seq") - cut)
-    kept = joined.withColumns({"seq": F.substr("seq", first, left), "qual": F.substr("qual", first, left)}).drop("cut")
+    kept = found.withColumns({"seq": F.substr("seq", first, left), "qual": F.substr("qual", first, left)}).drop("cut")
     return kept.filter(F.length("seq") >= min_length).select(*reads.columns)
 
 
