@@ -126,3 +126,21 @@ def test_vcf_text_of_a_merged_row(spark):
         "1:100:10:0:30:90:0:30:0.9:0.9,0.92:90,92",
     ]
     assert sum("MERGED" in h for h in variants.vcf_header([("c", 9)])) == 2
+
+
+def test_candidates_move_once_to_their_runs(spark):
+    """Joined to their tiles' summary, rows stay where the window put them; runs across tile borders hold together."""
+    rows = [(s, "c", p) for s in "ab" for p in (1, 2, 3, 4, 5, 9, 12, 13, 16, 17)] + [("a", "d", 4)]
+    frame = spark.createDataFrame(rows, "sample string, contig string, pos int")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = codons.adjacent_runs(frame, width=4)
+        starts = {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 9: 9, 12: 12, 13: 12, 16: 16, 17: 16}
+        assert {tuple(r) for r in runs.collect()} == {(s, c, p, starts[p] if c == "c" else 4) for s, c, p in rows}
+        plan = runs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Rows once, the summary's window and its way back.
+    final = plan.split("== Initial Plan ==")[-1]
+    assert final.count("Exchange hashpartitioning") == 4

@@ -41,8 +41,8 @@ def candidates(variants: DataFrame) -> DataFrame:
 
 
 def adjacent_runs(rows: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
-    """Candidates labelled with the start of their run (steps of 0 or 1); lone rows are runs of one."""
-    return islands(rows, PLACE, "pos", "pos", slack=1, width=width, out="run")
+    """Candidates (no column is NULL) labelled with the start of their run (steps of 0 or 1); lone rows are runs of one."""
+    return islands(rows, PLACE, "pos", "pos", slack=1, width=width, out="run", nulls=False)
 
 
 def run_sizes(runs: DataFrame) -> DataFrame:

@@ -90,10 +90,14 @@ def decode_calls(
 def first_per_site(
     variants: DataFrame, keys: Sequence[str] = SITE, order: Sequence[str] = ("src",)
 ) -> DataFrame:
-    """First row per site in file order: an aggregate, so copies of a hot site combine map side."""
-    rest = [c for c in variants.columns if c not in keys]
-    picked = variants.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_v"))
-    return picked.select(*keys, "_v.*")
+    """First row per site in file order: an aggregate, so copies of a hot site combine map side.
+
+    The order's columns are moved once; rows of equal order are told apart by their other columns.
+    """
+    rest = [c for c in variants.columns if c not in (*keys, *order)]
+    first = [c for c in order if c not in keys]
+    picked = variants.groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_v"))
+    return picked.select(*keys, *[F.col(f"_v.`{c}`").alias(c) for c in variants.columns if c not in keys])
 
 
 def unique_adjacent(variants: DataFrame, order: Sequence[str] = ("src",)) -> DataFrame:
