@@ -95,6 +95,47 @@ def test_slices_of_a_task_are_summed_before_they_are_sent(spark, monkeypatch):
     assert [r[:8] for r in whole] == sorted(brute_phrases([r[1:] for r in rows], 2, 2000), key=str)
 
 
+def rows_made(frame):
+    """Rows that each MapInArrow of an executed plan gave."""
+    todo, found = [frame._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        elif name == "MapInArrow":
+            metrics = node.metrics().iterator()
+            pairs = [metrics.next() for _ in range(node.metrics().size())]
+            found += [m._2().value() for m in pairs if m._2().name().get() == "number of output rows"]
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_phrases_of_all_tasks_travel_as_lists(spark):
+    """Eight tasks with the same phrases make no more rows than there are phrases, and the counts are those of all."""
+    words = [f"w{i}" for i in range(2000)]
+    frame = spark.range(8, numPartitions=8).selectExpr("8 - id AS doc_id", "'en' AS lang", f"'{' '.join(words)}' AS text")
+    counts = phrases.phrase_counts(frame, least=8)
+    expected = {" ".join(words[i : i + n]): (n, 8, 1, i) for n in range(1, 6) for i in range(len(words) - n + 1)} | {"": (0, 16000, None, None)}
+    found = counts.collect()
+    assert len(found) == len(expected)
+    assert {r["phrase"]: (r["words"], r["a"], *r["first"]) for r in found} == expected
+    made = rows_made(counts)
+    assert made and max(made) <= len(expected)
+
+
+def test_phrases_are_listed_by_part_and_language():
+    """Long parts are dealt over several rows; the rows give the phrases back, null places too."""
+    rows = [(i % 3, "en" if i % 2 else "de", f"p {i}", i, None if i == 4 else i, i) for i in range(42)]
+    told = phrases.pa.table(list(zip(*rows, strict=True)), names=phrases.TOLD)
+    lists = list(phrases._listed(told, 3))
+    assert sum(b.num_rows for b in lists) == 6 * 3 and max(len(x) for b in lists for x in b.column("phrase").to_pylist()) == 3
+    back = [tuple(r.values()) for b in lists for r in phrases._spread(b.slice(1)).to_pylist() + phrases._spread(b.slice(0, 1)).to_pylist()]
+    assert sorted(back, key=str) == sorted(rows, key=str)
+
+
 # --- alignment ----------------------------------------------------------------------------------------
 
 

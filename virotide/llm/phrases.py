@@ -9,7 +9,8 @@ difference of two prefix values. Three passes, each exact about what it keeps:
 2. The texts are read again. Of occurrences whose fingerprint is in the table each slice compares the bytes with
    the first occurrence, so that phrases of equal fingerprint part. The slices of a task are summed by text, and it
    sends each phrase once, with its count and a pointer to its first occurrence (more often only if the phrases at
-   hand outgrow ``HELD``). Aggregated by text, these counts are exact; only frequent phrases get this far.
+   hand outgrow ``HELD``). Phrases are dealt to parts by fingerprint and travel as lists, one row for the phrases of a
+   part, language and task; each part is summed by text. These counts are exact; only frequent phrases get this far.
 3. Phrases are cut after each word, the parts' counts are joined, and the lowest score of a phrase counts.
 
 Defined cases: a null or empty text has no words; a null language is ``und``; repeated rows count each; a text of any
@@ -39,6 +40,10 @@ RANGE_BYTES = 3 << 20
 TABLE_BITS = 1 << 27
 #: Phrases that a task sums before it sends them; some 100 bytes each.
 HELD = 1 << 20
+#: Leading bits of a fingerprint that name the part in which a phrase is summed.
+PART_BITS = 9
+#: Phrases in one row at most: Spark hands rows to Python by number, 10,000 at a time.
+LISTED = 128
 BASE = 0x9E3779B97F4A7C15
 UNKNOWN = "und"
 BLANK, BREAK = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -254,7 +259,10 @@ def _told_apart(part: Slice, first: np.ndarray, fps: np.ndarray, n: int) -> Iter
         first, fps = at[~same], fps[order][~same]
 
 
-def _columns(part: Slice, heads: np.ndarray, counts: np.ndarray, n: int) -> pa.Table:
+TOLD = ["part", "lang", "phrase", "a", "doc_id", "word"]
+
+
+def _columns(part: Slice, heads: np.ndarray, counts: np.ndarray, n: int, fps: np.ndarray) -> pa.Table:
     """Phrases of ``n`` words by their first words, as columns; for ``n`` 0 the row with the number of all words."""
     if n:
         start = part.starts[heads]
@@ -266,21 +274,40 @@ def _columns(part: Slice, heads: np.ndarray, counts: np.ndarray, n: int) -> pa.T
         said = pa.StringArray.from_buffers(len(heads), pa.py_buffer(offsets), pa.py_buffer(part.bytes[place]))
         doc, word = part.pointer(heads)
     else:
-        said, counts = pa.array([""]), np.array([part.own])
+        said, counts, fps = pa.array([""]), np.array([part.own]), part.seed.reshape(1)
         doc, word = pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())
-    rows = len(said)
-    columns = [pa.repeat(part.lang, rows), said, pa.repeat(pa.scalar(n, pa.int32()), rows), pa.array(counts, pa.int64()), doc, word]
-    return pa.Table.from_arrays(columns, ["lang", "phrase", "words", "a", "doc_id", "word"])
+    dealt = pa.array((fps >> np.uint64(64 - PART_BITS)).astype(np.int32))
+    return pa.Table.from_arrays([dealt, pa.repeat(part.lang, len(said)), said, pa.array(counts, pa.int64()), doc, word], TOLD)
 
 
 def _summed(told: pa.Table) -> pa.Table:
     """One row per phrase: the sum of ``a``, and the pointer that comes first (no document before all others)."""
     order = pc.sort_indices(told, sort_keys=[("doc_id", "ascending"), ("word", "ascending")], null_placement="at_start")
     first = pc.ScalarAggregateOptions(skip_nulls=False)
-    groups = told.take(order).group_by(["lang", "phrase", "words"], use_threads=False)
+    groups = told.take(order).group_by(["part", "lang", "phrase"], use_threads=False)
     out = groups.aggregate([("a", "sum"), ("doc_id", "first", first), ("word", "first", first)])
-    out = out.select(["lang", "phrase", "words", "a_sum", "doc_id_first", "word_first"])
-    return out.rename_columns(["lang", "phrase", "words", "a", "doc_id", "word"]).combine_chunks()
+    return out.select(["part", "lang", "phrase", "a_sum", "doc_id_first", "word_first"]).rename_columns(TOLD).combine_chunks()
+
+
+def _listed(told: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
+    """One row for up to ``most`` phrases of a part and language; ``_spread`` takes the lists apart again."""
+    told = told.take(pc.sort_indices(told, sort_keys=[("part", "ascending"), ("lang", "ascending")]))
+    (rows,) = told.combine_chunks().to_batches()
+    part, lang = rows.column("part").to_numpy(), rows.column("lang").dictionary_encode().indices.to_numpy()
+    new = np.concatenate(([True], (part[1:] != part[:-1]) | (lang[1:] != lang[:-1])))
+    place = np.arange(len(part)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    starts = np.flatnonzero(place % most == 0)
+    ends = pa.array(np.append(starts, len(part)), pa.int32())
+    names = [rows.column(c).take(pa.array(starts)) for c in TOLD[:2]]
+    out = pa.RecordBatch.from_arrays([*names, *(pa.ListArray.from_arrays(ends, rows.column(c)) for c in TOLD[2:])], TOLD)
+    for at in range(0, out.num_rows, 256):
+        yield out.slice(at, 256)
+
+
+def _spread(rows: pa.RecordBatch) -> pa.Table:
+    """One row per phrase of the rows of ``_listed``."""
+    of = pc.list_parent_indices(rows.column("phrase"))
+    return pa.Table.from_arrays([*(rows.column(c).take(of) for c in TOLD[:2]), *(rows.column(c).flatten() for c in TOLD[2:])], TOLD)
 
 
 def phrase_counts(docs: DataFrame, least: int = 100, most_words: int = 5) -> DataFrame:
@@ -291,33 +318,51 @@ def phrase_counts(docs: DataFrame, least: int = 100, most_words: int = 5) -> Dat
     """
     table = docs.sparkSession.sparkContext.broadcast(_table(frequent_fingerprints(docs, least, most_words)))
 
-    size = SLICE
+    size, held_most, listed = SLICE, HELD, LISTED
 
     def materialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
         held = None
         for part in _slices(batches, most_words - 1, size):
-            told = [_columns(part, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 0)]
+            none = np.zeros(0, dtype=np.int64)
+            told = [_columns(part, none, none, 0, none)]
             for n in range(1, most_words + 1):
                 first, fps = part.grams(n)
                 bit = (fps >> np.uint64(16)) & np.uint64(TABLE_BITS - 1)
                 hit = (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                told += [_columns(part, heads, number, n) for heads, number in _told_apart(part, first[hit], fps[hit], n)]
+                first, fps = first[hit], fps[hit]
+                told += [_columns(part, heads, number, n, fps[np.searchsorted(first, heads)]) for heads, number in _told_apart(part, first, fps, n)]
                 del first, fps, bit, hit
             del part
             told = pa.concat_tables(told)
             held = told if held is None else _summed(pa.concat_tables([held, told]))
             del told
             pa.default_memory_pool().release_unused()
-            if held.num_rows > HELD:
-                yield from held.to_batches(1 << 14)
+            if held.num_rows > held_most:
+                yield from _listed(held, listed)
                 held = None
         if held is not None:
-            yield from held.to_batches(1 << 14)
+            yield from _listed(held, listed)
 
-    told = _rows(docs).mapInArrow(materialise, "lang string, phrase string, words int, a long, doc_id long, word long")
-    whole = told.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a"), F.min(F.struct("doc_id", "word")).alias("first"))
-    return whole.where((F.col("a") >= least) | (F.col("words") == 0))
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, rows = [], 0
+        for batch in batches:
+            waiting.append(_spread(batch))
+            rows += waiting[-1].num_rows
+            if rows > held_most:
+                waiting = [_summed(pa.concat_tables(waiting))]
+                rows = -waiting[0].num_rows  # grows by as much again before the next sum
+        if waiting:
+            whole = _summed(pa.concat_tables(waiting))
+            every = pc.equal(whole.column("phrase"), "")
+            words = pc.if_else(every, 0, pc.add(pc.count_substring(whole.column("phrase"), " "), 1))
+            whole = whole.drop_columns(["part"]).add_column(2, "words", words.cast(pa.int32()))
+            yield from whole.filter(pc.or_(every, pc.greater_equal(whole.column("a"), least))).to_batches(1 << 14)
+
+    lists = "part int, lang string, phrase array<string>, a array<long>, doc_id array<long>, word array<long>"
+    told = _rows(docs).mapInArrow(materialise, lists).repartition("part")
+    whole = told.mapInArrow(total, "lang string, phrase string, words int, a long, doc_id long, word long")
+    return whole.select("lang", "phrase", "words", "a", F.struct("doc_id", "word").alias("first"))
 
 
 def collocations(docs: DataFrame, least: int = 100, most_words: int = 5, top: int = 2000) -> DataFrame:
