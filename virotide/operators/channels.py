@@ -39,26 +39,40 @@ def product(left: DataFrame, right: DataFrame, slots: int = 64) -> DataFrame:
     return dealt.join(copied, "_slot").drop("_slot")
 
 
+def _plain(columns: Sequence[str]) -> dict[str, Column]:
+    """Each column as a text that tells its values and null apart, under a name of its own: a join key that needs no null-safe test."""
+    return {f"_key_{i}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for i, c in enumerate(columns)}
+
+
 def product_with(
-    left: DataFrame, right: DataFrame, values: DataFrame, block: Sequence[str], pair: Sequence[str], slots: int = 64
+    left: DataFrame, right: DataFrame, values: DataFrame, block: Sequence[str], pair: Sequence[str], slots: int = 64, runs: bool = False
 ) -> DataFrame:
     """`product`, with the other columns of ``values`` where that holds the pair (else null).
 
-    ``values`` has the columns of ``left``, those of ``block`` and of ``pair``, by which it is unique; ``right`` has the latter
-    two. A block holds some hundred right rows. Only (left row, block) moves, with its values as a map: the product
-    comes out of the last join and is never shuffled.
+    ``values`` has the columns of ``left`` (distinct rows), those of ``block`` and of ``pair``, by which it is unique; ``right`` has the latter
+    two. A block holds some hundred right rows. Only (left row, block) moves, once, with its values as a map: the product
+    comes out of the last join and is never shuffled. Values that are dealt by left row and block do not move to become maps.
+    With ``runs`` the rows of one right row follow each other, so its columns are written as runs; else those of one left row.
     """
     extra = [c for c in values.columns if c not in (*left.columns, *block, *pair)]
     key = [*left.columns, *block]
     entries = F.collect_list(F.struct(F.struct(*pair).alias("key"), F.struct(*extra).alias("value")))
-    maps = values.groupBy(*key).agg(F.map_from_entries(entries).alias("_values"))
-    blocks = attach(product(left, right.select(*block).distinct(), slots), maps, key)
-    dealt = blocks.withColumn("_slot", F.pmod(F.xxhash64(*left.columns), F.lit(slots)).cast("int"))
-    copied = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    same = reduce(lambda x, y: x & y, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in block])
-    joined = dealt.alias("l").join(copied.alias("r"), (F.col("l._slot") == F.col("r._slot")) & same)
+    maps = values.groupBy(*key).agg(F.map_from_entries(entries).alias("_values")).withColumn("_asked", F.lit(False))
+    frame = product(left, right.select(*block).distinct(), slots).withColumn("_asked", F.lit(True))
+    plain = _plain(block)
+    slot = F.pmod(F.xxhash64(*left.columns), F.lit(slots)).cast("int")
+    both = frame.unionByName(maps, allowMissingColumns=True).withColumn("_slot", slot).withColumns(plain)
+    # Dealt as the join below needs it: a left row's block meets its values here, nulls included.
+    dealt = both.repartition("_slot", *plain).groupBy(*key, "_slot", *plain).agg(
+        F.first("_values", ignorenulls=True).alias("_values"), F.max("_asked").alias("_asked")
+    ).filter("_asked")
+    copied = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).withColumns(plain)
+    same = reduce(lambda x, y: x & y, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("_slot", *plain)])
+    # The planner takes exploded rows for as few as those before, and would send all copies through the driver.
+    dealt, copied = dealt.hint("shuffle_merge").alias("l"), copied.hint("shuffle_merge").alias("r")
+    sides = (copied, dealt) if runs else (dealt, copied)
     held = F.try_element_at("l._values", F.struct(*[F.col(f"r.{c}") for c in pair]))
-    out = joined.select(*[F.col(f"l.{c}") for c in left.columns], "r.*", held.alias("_held")).drop("_slot")
+    out = sides[0].join(sides[1], same).select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in right.columns], held.alias("_held"))
     return out.select("*", *[F.col(f"_held.{c}").alias(c) for c in extra]).drop("_held")
 
 
