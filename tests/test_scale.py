@@ -112,3 +112,61 @@ def test_zero_depth_is_counted_without_gap_rows(spark):
     # Gaps are made for null keys alone: without them the plan holds no break to match.
     named = segments.where("sample is not null").localCheckpoint()
     assert {tuple(r) for r in alignments.filled_depth(named, contigs).collect()} == {w for w in want if w[0]}
+
+
+def test_regions_move_once(spark):
+    """Medians and thresholds against every base; rows of a region follow each other, and its copies do not go through the driver."""
+    rng = random.Random(4)
+    cut = sorted(rng.sample(range(200), 24))
+    rows = [(s, "c", a, b, rng.randint(1, 6)) for s in ("s", "t") for a, b in zip(cut[::2], cut[1::2])]
+    spans = [("c", i * 9, i * 9 + 7 + i % 5, f"r{i}") for i in range(22)] + [("d", 3, 8, "far"), ("c", 5, 5, "none")]
+    segments = spark.createDataFrame(rows, "sample string, contig string, start bigint, end bigint, depth bigint")
+    regions = spark.createDataFrame(spans, "contig string, start bigint, end bigint, region string")
+    names = spark.createDataFrame([("s",), ("t",), ("u",), (None,)], "sample string")
+    got = alignments.region_depth(segments, regions, (0, 1, 3), samples=names)
+    plan = plan_of(got)
+    want = []
+    for sample in ("s", "t", "u", None):
+        at = {p: d for s, c, a, b, d in rows if s == sample for p in range(a, b)}
+        for contig, a, b, region in spans:
+            depths = sorted(at.get(p, 0) if contig == "c" else 0 for p in range(a, b))
+            if depths:
+                middle = (depths[(len(depths) - 1) // 2] + depths[len(depths) // 2]) / 2
+                want.append((sample, contig, a, b, region, middle, *[sum(d >= t for d in depths) for t in (0, 1, 3)]))
+    assert rows_of(got) == sorted(want, key=str)
+    assert "SortMergeJoin [_slot" in plan
+    # Only the frame's samples and the pairs; values move in no other step by sample.
+    assert plan.count("Exchange hashpartitioning(sample") == 2
+    seen = [r["region"] for r in got.filter("contig = 'c'").coalesce(1).collect()]
+    assert sum(a != b for a, b in zip(seen, seen[1:])) < len(seen) - 1
+
+
+def test_edits_and_spans_move_once_to_their_block(spark):
+    """Variants over a chunk border and a tile border, masks that overlap or come twice, null names: against a walk over bases."""
+    text = "".join("ACGT"[i * 7 % 4] for i in range(17000))
+    ref = spark.createDataFrame([("c", text)], "contig string, seq string")
+    calls = [("s", "c", 9, text[8:12], "A"), ("s", "c", 11, text[10], "TT"), ("s", "c", 16383, text[16382:16386], "G"), ("s", "c", 16385, text[16384], "C"), ("t", "c", 5, text[4], "GA")]
+    odd = [(None, "c", 3, "A", "T"), ("s", None, 3, "A", "T"), ("s", "c", None, "A", "T")]
+    variants = spark.createDataFrame(calls + odd, "sample string, contig string, pos bigint, ref string, alt string")
+    spans = [("s", "c", 6, 14), ("s", "c", 12, 25), ("s", "c", 6, 14), ("u", "c", 0, 3), (None, "c", 0, 9)]
+    mask = spark.createDataFrame(spans, "sample string, contig string, start bigint, end bigint")
+    got = consensus.apply_variants(variants, ref, width=10, mask=mask)
+    texts = {}
+    for r in got.orderBy("chunk").collect():
+        texts[r["sample"]] = texts.get(r["sample"], "") + r["seq"]
+    want = {}
+    for sample in ("s", "t", "u", None):
+        letters = list(text)
+        for s, _, a, b in spans:
+            if s == sample and s:
+                letters[a:b] = "N" * (b - a)
+        reach = 0
+        for _, _, pos, old, new in sorted(c for c in calls if c[0] == sample):
+            if pos > reach:
+                letters[pos - 1 : pos - 1 + len(old)] = [new] + [""] * (len(old) - 1)
+                reach = pos + len(old) - 1
+        want[sample] = "".join(letters)
+    assert texts == want
+    plan = plan_of(got)
+    assert "SortMergeJoin [_slot" in plan
+    assert plan.count("Exchange hashpartitioning(sample") <= 7
