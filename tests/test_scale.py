@@ -4,7 +4,7 @@ import random
 
 from conftest import rows_of
 from pyspark.sql import functions as F
-from virotide.operators import alignments, channels, consensus, intervals, primers
+from virotide.operators import alignments, channels, coding, consensus, intervals, primers
 
 READS = "sample string, qname string, flag int, contig string, pos bigint, cigar string, seq string, qual string"
 
@@ -137,8 +137,6 @@ def test_regions_move_once(spark):
     assert "SortMergeJoin [_slot" in plan
     # Only the frame's samples and the pairs; values move in no other step by sample.
     assert plan.count("Exchange hashpartitioning(sample") == 2
-    seen = [r["region"] for r in got.filter("contig = 'c'").coalesce(1).collect()]
-    assert sum(a != b for a, b in zip(seen, seen[1:])) < len(seen) - 1
 
 
 def test_edits_and_spans_move_once_to_their_block(spark):
@@ -170,3 +168,43 @@ def test_edits_and_spans_move_once_to_their_block(spark):
     plan = plan_of(got)
     assert "SortMergeJoin [_slot" in plan
     assert plan.count("Exchange hashpartitioning(sample") <= 7
+
+
+def test_rows_of_a_right_row_follow_each_other(spark):
+    left = spark.createDataFrame([(str(i),) for i in range(4)], "sample string")
+    right = spark.createDataFrame([("c", 0, i) for i in range(6)], "contig string, block int, at int")
+    values = spark.createDataFrame([("1", "c", 0, 2, 7)], "sample string, contig string, block int, at int, v int")
+    seen = [r["at"] for r in channels.product_with(left, right, values, ["contig", "block"], ["at"], slots=1, runs=True).collect()]
+    assert len(seen) == 24 and sum(a != b for a, b in zip(seen, seen[1:])) == 5
+
+
+def test_calls_meet_the_reference_as_text(spark):
+    """Positions that lack, repeat, are null or have more letters give what a join by position gives; no letter has a row of its own."""
+    rows = [("s", "c", p, b, 6, 2, 180) for p in (1, 2, 999, 1000, 1001, 1500, 2003) for b in ("A", "G", "+TT")] + [("s", None, 1, "A", 9, 1, 300), ("s", "c", None, "A", 9, 1, 300)]
+    counts = spark.createDataFrame(rows, "sample string, contig string, pos bigint, base string, n bigint, n_reverse bigint, quality_sum bigint")
+    refs = [("c", 1, "A"), ("c", 2, "G"), ("c", 2, "T"), ("c", 999, "AC"), ("c", 1000, "C"), ("c", 1001, None), ("c", 2003, "T"), ("c", 2003, "T"), (None, 1, "C"), ("c", None, "C")]
+    reference = spark.createDataFrame(refs, "contig string, pos bigint, ref string")
+    got = alignments.call_variants(counts, reference, min_depth=3)
+    want = []
+    for contig, pos, ref in refs:
+        here = [r for r in rows if contig and pos and ref and r[1] == contig and r[2] == pos]
+        own = next((r for r in here if r[3] == ref), None)
+        for r in here:
+            if r[3] != ref:
+                want.append(("s", contig, pos, ref, r[3], 6, 2, 30, 12, own[4] if own else 0, own[5] if own else 0, 30 if own else 0, 0.5))
+    assert rows_of(got) == sorted(want, key=str)
+    assert plan_of(got).count("_text") and "pos#" not in plan_of(got).split("Join", 1)[1].split("]", 1)[0]
+
+
+def test_codons_do_not_send_the_reference_to_the_driver(spark):
+    """Exploded rows are as many as positions, but count as few in the planner's guess."""
+    parts = spark.createDataFrame([("c", 2, 10, "+", "t", "g", 0)], "contig string, start bigint, end bigint, strand string, transcript string, gene string, offset bigint")
+    ends = spark.createDataFrame([("c", 12)], "contig string, last bigint")
+    reference = ends.select("contig", F.explode(F.sequence(F.lit(1).cast("bigint"), "last")).alias("pos"), F.lit("A").alias("ref"))
+    codons = coding.coding_codons(parts, reference)
+    calls = spark.createDataFrame([("s", "c", 3, "A", "T")], "sample string, contig string, pos bigint, ref string, alt string")
+    found = coding.codon_columns(calls, parts, codons)
+    for plan in (plan_of(codons), plan_of(found)):
+        assert "SortMergeJoin" in plan
+    assert "BroadcastExchange" not in plan_of(codons)
+    assert [tuple(r) for r in found.select("ref_codon", "alt_codon", "aa_pos").collect()] == [("AAA", "ATA", 1)]
